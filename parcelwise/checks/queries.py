@@ -71,8 +71,31 @@ def monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kpi.monthly_risk_by_region(fact(spark, sf_dir))
 
 
+# What the star tables are made of.
+STAR_COLUMNS = list(
+    dict.fromkeys(
+        source
+        for layout in (star.REGION, star.PRODUCT, star.CUSTOMER, star.DATE, star.FACT)
+        for source in layout.values()
+    )
+)
+
+
+def stored_clean(
+    spark: SparkSession, sf_dir: str, columns: list[str] = STAR_COLUMNS
+) -> DataFrame:
+    """For queries that read the cleaned orders more than once."""
+    return tables.stage(clean(spark, sf_dir).select(*columns), "clean")
+
+
+def stored_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tables.stage(fact(spark, sf_dir), "fact")
+
+
 def departments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cleaned = clean(spark, sf_dir)
+    cleaned = stored_clean(
+        spark, sf_dir, list(dict.fromkeys([*star.FACT.values(), *star.PRODUCT.values()]))
+    )
     return kpi.department_kpis(star.fact_orders(cleaned), star.dim_product(cleaned))
 
 
@@ -84,13 +107,20 @@ def loss_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return anomaly.monthly_anomaly_rate(loss_flag(fact(spark, sf_dir)))
 
 
-def scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = fact(spark, sf_dir)
-    return score.build_risk_scores(
-        kpi.monthly_risk_by_region(orders), anomaly.monthly_anomaly_rate(loss_flag(orders))
+def rated_months(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Monthly KPIs and anomaly rates, stored as the daily job stores them."""
+    orders = stored_fact(spark, sf_dir)
+    rates = anomaly.monthly_anomaly_rate(loss_flag(orders))
+    return (
+        tables.stage(kpi.monthly_risk_by_region(orders), "monthly"),
+        tables.stage(rates, "anomalies"),
     )
 
 
+def scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score.build_risk_scores(*rated_months(spark, sf_dir))
+
+
 def selected_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return feeds.filter_risk_scores(scores(spark, sf_dir), SELECTED, FIRST_MONTH, LAST_MONTH)
 
@@ -147,7 +177,7 @@ def read_feed_parquet(spark, sf_dir):
 def _publish(spark, sf_dir) -> None:
     """Star tables and KPI views in the catalog, as the daily job publishes them."""
     folder = shared_folder(spark, "star")
-    cleaned = tables.stage(clean(spark, sf_dir), "clean")
+    cleaned = stored_clean(spark, sf_dir)
     for name, df in star.star_tables(cleaned).items():
         tables.publish_table(df, name, folder, ["year_month"] if name == "fact_orders" else None)
     orders = tables.read_published(spark, "fact_orders")
@@ -363,7 +393,7 @@ def fact_orders(spark, sf_dir):
 
 @query
 def table_row_counts(spark, sf_dir):
-    cleaned = tables.stage(clean(spark, sf_dir), "clean")
+    cleaned = stored_clean(spark, sf_dir)
     return star.table_row_counts(star.star_tables(cleaned))
 
 
@@ -387,7 +417,7 @@ def top_risk_region_months(spark, sf_dir):
 
 @query
 def segment_risk(spark, sf_dir):
-    cleaned = clean(spark, sf_dir)
+    cleaned = stored_clean(spark, sf_dir)
     return kpi.segment_risk(
         star.fact_orders(cleaned),
         star.dim_customer(cleaned),
@@ -504,7 +534,7 @@ def anomaly_features(spark, sf_dir):
 
 @query
 def isolation_forest_fit(spark, sf_dir):
-    grown, _ = anomaly.isolation_forest_trees(tables.stage(fact(spark, sf_dir), "fact"))
+    grown, _ = anomaly.isolation_forest_trees(stored_fact(spark, sf_dir))
     return grown.select(
         "tree",
         F.size(F.filter("threshold", lambda t: t < F.lit(float("inf")))).alias("splits"),
@@ -560,13 +590,13 @@ def monthly_anomaly_rate(spark, sf_dir):
 
 @query
 def join_anomaly_rate(spark, sf_dir):
-    return score.join_anomaly_rate(monthly(spark, sf_dir), loss_rates(spark, sf_dir))
+    return score.join_anomaly_rate(*rated_months(spark, sf_dir))
 
 
 @query
 def minmax_normalize(spark, sf_dir):
     return score.minmax_normalize(
-        monthly(spark, sf_dir), {"late_risk_pct": "late_risk_norm", "total_sales": "sales_norm"}
+        tables.stage(monthly(spark, sf_dir), "monthly"), {"late_risk_pct": "late_risk_norm", "total_sales": "sales_norm"}
     ).select("year_month", "region_name", "late_risk_norm", "sales_norm")
 
 

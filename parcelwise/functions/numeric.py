@@ -23,11 +23,27 @@ def _exact_or(x: Column, exact: Column, plain: Column) -> Column:
     return F.coalesce(F.when(in_range, exact), plain)
 
 
+def round_half_away(x: Column, digits: int) -> Column:
+    """Round a double to decimals, ties away from zero, on the scaled binary value.
+
+    ``round(x, digits)`` works on the printed digits instead: it takes 4.225,
+    stored as 4.22499..., to 4.23 where SQL engines with binary rounding give 4.22.
+    """
+    scale = float(10**digits)
+    return F.round(x * scale) / scale
+
+
+def round_half_even(x: Column, digits: int) -> Column:
+    """As ``round_half_away``, ties to the even neighbour."""
+    scale = float(10**digits)
+    return F.rint(x * scale) / scale
+
+
 def money_sum(c: Column | str) -> Column:
     """Total rounded half away from zero to cents, decided on the decimal total."""
     x = _as_column(c)
     total = F.round(F.try_sum(x.try_cast(EXACT_TYPE)), 2)
-    return _exact_or(x, total.cast("double"), F.round(F.sum(x.cast("double")), 2))
+    return _exact_or(x, total.cast("double"), round_half_away(F.sum(x.cast("double")), 2))
 
 
 def exact_avg(c: Column | str, times: int = 1) -> Column:
@@ -71,5 +87,5 @@ class WeightedTotal:
         w = F.col(weight)
         in_range = F.max(self._peak) < F.lit(EXACT_LIMIT)
         exact = F.round(F.try_sum(F.try_multiply(F.col(self._exact), w)), 2).cast("double")
-        plain = F.round(F.sum(F.col(self._plain) * w), 2)
+        plain = round_half_away(F.sum(F.col(self._plain) * w), 2)
         return F.coalesce(F.when(in_range, exact), plain)

@@ -6,11 +6,15 @@ one group per tree. Scoring every order is a scan without any shuffle.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.keys import unit_draw
+from ..functions.numeric import round_half_even
 from ..functions.quantile import exact_quantile
 
 # Model inputs and settings.
@@ -91,9 +95,6 @@ def _tree_grower(features: list[str], tree_rows: int, seed: int):
     """
 
     def grow(group):
-        import numpy as np
-        import pandas as pd
-
         group = group.sort_values("place")
         tree = int(group["tree"].iloc[0])
         x = group[features].to_numpy(dtype=float)
@@ -182,11 +183,6 @@ def isolation_forest_fit(
 
 def isolation_forest_score(fact: DataFrame, forest: IsolationForest) -> DataFrame:
     """Add ``anomaly_score`` in (0, 1], null where a feature is null. No shuffle."""
-    from typing import Iterator, Tuple
-
-    import numpy as np
-    import pandas as pd
-
     n = forest.rows_per_tree
     if n > 2:
         typical = 2.0 * (np.log(n - 1.0) + 0.5772156649) - 2.0 * (n - 1.0) / n
@@ -202,7 +198,7 @@ def isolation_forest_score(fact: DataFrame, forest: IsolationForest) -> DataFram
     )
 
     @F.pandas_udf("double")
-    def score(batches: Iterator[Tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
+    def score(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
         feature, threshold, path, typical_path = shipped.value
         inner = feature.shape[1]
         for columns in batches:
@@ -268,6 +264,6 @@ def monthly_anomaly_rate(flagged: DataFrame) -> DataFrame:
         )
         .withColumn(
             "anomaly_rate_pct",
-            F.bround(F.try_divide(F.col("anomaly_count"), F.col("total_orders")) * 100, 2),
+            round_half_even(F.try_divide(F.col("anomaly_count"), F.col("total_orders")) * 100, 2),
         )
     )

@@ -11,6 +11,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..functions.numeric import round_half_even
+
 MIN_MONTHS = 12
 STEPS = 3
 Z_95 = 1.959963984540054
@@ -196,9 +198,9 @@ def forecast_from_fit(fits: DataFrame) -> DataFrame:
             "region_name",
             "forecast_step",
             "forecast_month",
-            F.bround(F.greatest(zero, F.least(hundred, centre)), 2).alias("predicted_risk"),
-            F.bround(F.greatest(zero, centre - reach), 2).alias("lower_bound"),
-            F.bround(F.least(hundred, centre + reach), 2).alias("upper_bound"),
+            round_half_even(F.greatest(zero, F.least(hundred, centre)), 2).alias("predicted_risk"),
+            round_half_even(F.greatest(zero, centre - reach), 2).alias("lower_bound"),
+            round_half_even(F.least(hundred, centre + reach), 2).alias("upper_bound"),
         )
     )
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..functions.numeric import WeightedTotal, exact_avg, money_sum
+from ..functions.numeric import WeightedTotal, exact_avg, money_sum, round_half_away
 
 
 def monthly_risk_by_region(fact: DataFrame) -> DataFrame:
@@ -12,11 +12,11 @@ def monthly_risk_by_region(fact: DataFrame) -> DataFrame:
     return fact.groupBy("year_month", "region_name").agg(
         F.count("*").alias("total_orders"),
         F.sum("late_risk_flag").alias("late_orders"),
-        F.round(F.avg("late_risk_flag") * 100, 2).alias("late_risk_pct"),
-        F.round(F.avg("lead_days"), 1).alias("avg_lead_days"),
+        round_half_away(F.avg("late_risk_flag") * 100, 2).alias("late_risk_pct"),
+        round_half_away(F.avg("lead_days"), 1).alias("avg_lead_days"),
         money_sum("sales_amount").alias("total_sales"),
         money_sum("profit").alias("total_profit"),
-        F.round(exact_avg("discount_rate", times=100), 2).alias("avg_discount_pct"),
+        round_half_away(exact_avg("discount_rate", times=100), 2).alias("avg_discount_pct"),
     )
 
 
@@ -50,7 +50,7 @@ def department_kpis(fact: DataFrame, dim_product: DataFrame) -> DataFrame:
         .groupBy("department_name", "year_month")
         .agg(
             F.sum(F.col("_orders") * F.col("versions")).alias("total_orders"),
-            F.round(late_share * 100, 2).alias("late_risk_pct"),
+            round_half_away(late_share * 100, 2).alias("late_risk_pct"),
             sales.combine("versions").alias("total_sales"),
             profit.combine("versions").alias("total_profit"),
         )
@@ -111,7 +111,7 @@ def segment_risk(
             "segment",
             "total_orders",
             "late_orders",
-            F.round(F.col("late_orders") / F.col("total_orders") * 100, 2).alias("late_risk_pct"),
+            round_half_away(F.col("late_orders") / F.col("total_orders") * 100, 2).alias("late_risk_pct"),
         )
         .orderBy(F.desc("late_risk_pct"), F.asc_nulls_last("segment"))
     )

@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..functions.numeric import round_half_even
+
 # Weights, floor, value of a constant column, tier bounds.
 LATE_WEIGHT = 0.5
 ANOMALY_WEIGHT = 0.3
@@ -27,22 +29,27 @@ def join_anomaly_rate(monthly: DataFrame, anomalies: DataFrame) -> DataFrame:
 def minmax_normalize(df: DataFrame, columns: dict[str, str]) -> DataFrame:
     """Scale columns to 0..100 over all rows; ``columns`` maps source to new name.
 
-    The extremes come from one aggregate, used as a scalar subquery.
+    The extremes are one aggregate row, attached as a scalar subquery, so ``df`` is
+    evaluated twice: pass a stored table when it is costly.
     """
     extremes = df.agg(
         F.struct(
             *[F.min(c).alias(f"{c}_low") for c in columns],
             *[F.max(c).alias(f"{c}_high") for c in columns],
         ).alias("extremes")
-    ).scalar()
+    )
 
     def scaled(c: str) -> Column:
-        low, high = extremes.getField(f"{c}_low"), extremes.getField(f"{c}_high")
+        low, high = F.col(f"_extremes.{c}_low"), F.col(f"_extremes.{c}_high")
         return F.when(low == high, F.lit(CONSTANT_NORM)).otherwise(
             (F.col(c) - low) / (high - low) * 100
         )
 
-    return df.withColumns({new: scaled(c) for c, new in columns.items()})
+    return (
+        df.withColumn("_extremes", extremes.scalar())
+        .withColumns({new: scaled(c) for c, new in columns.items()})
+        .drop("_extremes")
+    )
 
 
 def disruption_score(df: DataFrame) -> DataFrame:
@@ -50,7 +57,7 @@ def disruption_score(df: DataFrame) -> DataFrame:
         F.col("late_risk_norm") * LATE_WEIGHT + F.col("anomaly_norm") * ANOMALY_WEIGHT + FLOOR
     )
     # ``least`` and ``greatest`` skip nulls, a missing score must stay missing.
-    bounded = F.greatest(F.lit(0.0), F.least(F.lit(100.0), F.bround(raw, 1)))
+    bounded = F.greatest(F.lit(0.0), F.least(F.lit(100.0), round_half_even(raw, 1)))
     return df.withColumn("disruption_score", F.when(raw.isNotNull(), bounded))
 
 
