@@ -24,9 +24,10 @@ from ..operators import (
     score,
     star,
 )
+from ..plans import ingest
 from ..sources import benchmark_tables, models, orders_csv, runs, tables
-from ..sources.benchmark_tables import LINE_KEY
 from ..session import shared_folder
+from ..sources.benchmark_tables import LINE_KEY
 
 REGION = "NATION_3"
 SEGMENT_REGION = "NATION_7"
@@ -176,14 +177,8 @@ def read_feed_parquet(spark, sf_dir):
 
 def _publish(spark, sf_dir) -> None:
     """Star tables and KPI views in the catalog, as the daily job publishes them."""
-    folder = shared_folder(spark, "star")
-    cleaned = stored_clean(spark, sf_dir)
-    for name, df in star.star_tables(cleaned).items():
-        tables.publish_table(df, name, folder, ["year_month"] if name == "fact_orders" else None)
-    orders = tables.read_published(spark, "fact_orders")
-    products = tables.read_published(spark, "dim_product")
-    tables.publish_view(kpi.monthly_risk_by_region(orders), "vw_monthly_risk_by_region")
-    tables.publish_view(kpi.department_kpis(orders, products), "vw_department_kpis")
+    ingest.publish_star(stored_clean(spark, sf_dir), shared_folder(spark, "star"))
+    ingest.publish_kpis(spark)
 
 
 @query

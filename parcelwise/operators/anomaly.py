@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ..functions.keys import unit_draw
 from ..functions.numeric import round_half_even
 from ..functions.quantile import exact_quantile
+from ..session import spread
 
 # Model inputs and settings.
 FEATURES = ["lead_days", "sales_amount", "profit", "discount_rate", "quantity"]
@@ -73,7 +74,7 @@ def sample_for_trees(
     seed: int = SEED,
 ) -> DataFrame:
     """``tree_rows`` random rows of the pool for each tree."""
-    each = pool.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
+    each = spread(pool).withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
     offered = each.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
     offered = offered.withColumn("draw", unit_draw(F.lit(seed + 1), "tree", "copy", *features))
     # Three times as many as needed; the smallest draws among them are taken.
@@ -182,7 +183,7 @@ def isolation_forest_fit(
 
 
 def isolation_forest_score(fact: DataFrame, forest: IsolationForest) -> DataFrame:
-    """Add ``anomaly_score`` in (0, 1], null where a feature is null. No shuffle."""
+    """Add ``anomaly_score`` in (0, 1], null where a feature is null."""
     n = forest.rows_per_tree
     if n > 2:
         typical = 2.0 * (np.log(n - 1.0) + 0.5772156649) - 2.0 * (n - 1.0) / n
@@ -220,7 +221,7 @@ def isolation_forest_score(fact: DataFrame, forest: IsolationForest) -> DataFram
     known = inputs[0].isNotNull()
     for c in inputs[1:]:
         known = known & c.isNotNull()
-    return fact.withColumn("anomaly_score", F.when(known, score(*inputs)))
+    return spread(fact).withColumn("anomaly_score", F.when(known, score(*inputs)))
 
 
 def flag_above(scored: DataFrame, threshold: float | Column | None, score: str) -> DataFrame:

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions.keys import draw, key_text
 from ..functions.numeric import ratio_or_zero
+from ..session import spread
 
 LABEL = "late_risk_flag"
 
@@ -94,7 +95,7 @@ def train_late_risk_forest(
         seed=seed,
     )
     return Pipeline(stages=[VectorAssembler(inputCols=features, outputCol="features"), forest]).fit(
-        train
+        spread(train)
     )
 
 

@@ -6,7 +6,7 @@ so they can be used alone as well.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Observation, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..functions.moments import month_label, parse_moment, whole_days
 from ..functions.names import snake_names
@@ -91,15 +91,17 @@ def fill_profit(df: DataFrame) -> DataFrame:
     return df.withColumn("order_profit_per_order", F.coalesce(profit, F.lit(0.0)))
 
 
-def drop_repeats(df: DataFrame, observe: Observation | None = None) -> DataFrame:
+def drop_repeats(df: DataFrame, copies: str | None = None) -> DataFrame:
     """Drop exact copies of a row; null equals null.
 
     Copies collapse inside each task before the shuffle, so a row repeated very
-    often does not overload one reducer. With an ``Observation`` the rows going
-    in are counted by the job that runs anyway (``observation.get['rows_in']``).
+    often does not overload one reducer. ``copies`` names a column to add with the
+    number of rows each kept row stands for.
     """
-    counted = df.observe(observe, F.count(F.lit(1)).alias("rows_in")) if observe else df
-    return counted.dropDuplicates()
+    if copies is None:
+        return df.dropDuplicates()
+    keys = [F.col(f"`{c}`") for c in df.columns]
+    return df.groupBy(*keys).agg(F.count("*").alias(copies))
 
 
 def sparse_columns(df: DataFrame, limit: float = 0.5) -> list[str]:
@@ -116,7 +118,7 @@ def drop_sparse(df: DataFrame, limit: float = 0.5) -> DataFrame:
 
 
 def tidy_rows(
-    df: DataFrame, nat_as_string: bool = False, observe: Observation | None = None
+    df: DataFrame, nat_as_string: bool = False, copies: str | None = None
 ) -> DataFrame:
     """Every cleaning step but the sparse-column one; fully lazy.
 
@@ -125,7 +127,7 @@ def tidy_rows(
     shuffle carries fewer columns and dates are parsed once per kept row.
     """
     unified = fill_profit(fill_late_flag(give_types(normalize_columns(df))))
-    dated = parse_dates(drop_repeats(unified, observe))
+    dated = parse_dates(drop_repeats(unified, copies))
     return add_calendar(add_lead_days(dated), nat_as_string)
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job relies on. Sizes (memory, cores, shuffle partitions) are
 # left to the cluster: AQE coalesces or splits shuffle partitions at run time.
@@ -41,3 +41,13 @@ def shared_folder(spark: SparkSession, label: str) -> str:
         root = tempfile.mkdtemp(prefix="parcelwise-")
         spark.sparkContext.setCheckpointDir(root)
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Give a small input one partition per core before CPU-heavy work on its rows.
+
+    Input splits are sized for reading. Larger inputs have more splits than the
+    cluster has cores and stay as they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
