@@ -322,7 +322,9 @@ def clean_dedup(spark, sf_dir):
 
 @query
 def clean_drop_sparse(spark, sf_dir):
-    return cleaning.drop_sparse(cleaning.drop_repeats(named(spark, sf_dir)))
+    return cleaning.drop_sparse(
+        tables.stage(cleaning.drop_repeats(named(spark, sf_dir)), "deduplicated")
+    )
 
 
 @query

@@ -38,9 +38,6 @@ SEED = 42
 TEST_PERCENT = 20
 FOLDS = 5
 
-# Score ranges whose totals are added up one after the other by ``auc_roc``.
-AUC_RANGES = 512
-
 
 def region_codes(df: DataFrame) -> DataFrame:
     """Region names and their codes 0..k-1 in name order, one row per region."""
@@ -112,14 +109,14 @@ def auc_roc(df: DataFrame, score: str, label: str = LABEL) -> DataFrame:
     """Exact area under the ROC curve; tied scores count half.
 
     Rows are first added up per score. The scores are then range-partitioned, so
-    each range orders its own scores, and only the totals of the ranges are added
-    up in sequence: no task sees all scores.
+    each range orders its own scores, and only the totals of the ranges, one row per
+    shuffle partition, are added up in sequence: no task sees all scores.
     """
     whole = "decimal(38,0)"
     per_score = df.groupBy(F.col(score).alias("score")).agg(
         F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) == 0).alias("neg")
     )
-    ranged = per_score.repartitionByRange(AUC_RANGES, F.desc("score")).withColumn(
+    ranged = per_score.repartitionByRange(F.desc("score")).withColumn(
         "range", F.spark_partition_id()
     )
     above = Window.partitionBy("range").orderBy(F.desc("score"))

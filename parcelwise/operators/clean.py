@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..functions.moments import month_label, parse_moment, whole_days
 from ..functions.names import snake_names
+from ..sources.tables import stage
 
 # Types of the columns used downstream, when the source delivers text.
 TEXT_TYPES = {
@@ -132,4 +133,6 @@ def tidy_rows(
 
 
 def clean_orders(df: DataFrame, nat_as_string: bool = False, limit: float = 0.5) -> DataFrame:
-    return drop_sparse(tidy_rows(df, nat_as_string), limit)
+    """The whole step. The deduplicated rows are stored, as the null shares of their
+    columns decide which columns the result has."""
+    return drop_sparse(stage(tidy_rows(df, nat_as_string), "tidy"), limit)
