@@ -203,6 +203,8 @@ def isolation_forest_score(fact: DataFrame, forest: IsolationForest) -> DataFram
         feature, threshold, path, typical_path = shipped.value
         inner = feature.shape[1]
         for columns in batches:
+            # A single column comes as a Series and not as a tuple of one.
+            columns = (columns,) if isinstance(columns, pd.Series) else columns
             # Feature-major, so that feature f of row i sits at f * rows + i.
             values = np.concatenate([c.to_numpy(dtype=float) for c in columns])
             rows = len(columns[0])
