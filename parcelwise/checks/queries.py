@@ -26,7 +26,7 @@ from ..operators import (
 )
 from ..plans import ingest
 from ..sources import benchmark_tables, models, orders_csv, runs, tables
-from ..session import shared_folder
+from ..session import apply_settings, shared_folder
 from ..sources.benchmark_tables import LINE_KEY
 
 REGION = "NATION_3"
@@ -49,7 +49,7 @@ def query(function):
 
 
 def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return benchmark_tables.raw_orders(spark, sf_dir)
+    return benchmark_tables.raw_orders(apply_settings(spark), sf_dir)
 
 
 def named(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -17,6 +17,7 @@ from ..functions.keys import unit_draw
 from ..functions.numeric import round_half_even
 from ..functions.quantile import exact_quantile
 from ..session import spread
+from ..sources.tables import stage
 
 # Model inputs and settings.
 FEATURES = ["lead_days", "sales_amount", "profit", "discount_rate", "quantity"]
@@ -55,14 +56,16 @@ def sample_pool(
     row_draw = unit_draw(F.lit(seed), F.col("_row"))
     total = rows.count()
     share = min(1.0, pool_rows / total) if total else 1.0
-    drawn = rows.filter(row_draw < share)
+    counted = rows.filter(row_draw < share).groupBy(*features).agg(F.count("*").alias("copies"))
+    pool = stage(counted, "pool")
     if share < 1.0:
         expected = total * share
-        if abs(drawn.count() - expected) > 5 * expected**0.5:
+        drawn = pool.agg(F.coalesce(F.sum("copies"), F.lit(0))).first()[0]
+        if abs(drawn - expected) > 5 * expected**0.5:
             copies = F.floor(F.col("copies") * share + unit_draw(F.lit(seed), *features))
-            counted = rows.groupBy(*features).agg(F.count("*").alias("copies"))
-            return counted.withColumn("copies", copies).filter("copies > 0"), total
-    return drawn.groupBy(*features).agg(F.count("*").alias("copies")), total
+            everything = rows.groupBy(*features).agg(F.count("*").alias("copies"))
+            pool = stage(everything.withColumn("copies", copies).filter("copies > 0"), "pool")
+    return pool, total
 
 
 def sample_for_trees(
@@ -183,7 +186,10 @@ def isolation_forest_fit(
 
 
 def isolation_forest_score(fact: DataFrame, forest: IsolationForest) -> DataFrame:
-    """Add ``anomaly_score`` in (0, 1], null where a feature is null."""
+    """Add ``anomaly_score`` in (0, 1], null where a feature is null.
+
+    Rows are scored where they are read; pass a stored table.
+    """
     n = forest.rows_per_tree
     if n > 2:
         typical = 2.0 * (np.log(n - 1.0) + 0.5772156649) - 2.0 * (n - 1.0) / n

@@ -2,15 +2,12 @@
 
 ``raw_orders`` gives the layout of a raw order file, with faults planted by
 fixed rules (missing regions, bad dates, bad numbers, repeated rows, ...), so
-that cleaning and checking have something to find. ``tidy_orders`` is the same
-table without faults.
+that cleaning and checking have something to find.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-
-from ..functions.moments import MOMENT
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 # Unique for every line; integers only, as engines print doubles differently.
 LINE_KEY = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "price_cents"]
@@ -52,128 +49,69 @@ def joined_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     below the threshold, and sort-merge joins otherwise.
     """
     nation = table(spark, sf_dir, "nation").join(
-        table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey")
-    )
-    customer = table(spark, sf_dir, "customer").join(
-        nation, F.col("c_nationkey") == F.col("n_nationkey")
+        table(spark, sf_dir, "region"), F.expr("n_regionkey = r_regionkey")
     )
-    orders = table(spark, sf_dir, "orders").join(customer, F.col("o_custkey") == F.col("c_custkey"))
-    lines = (
-        table(spark, sf_dir, "lineitem")
-        .join(table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
-        .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-    )
-    lead = F.pmod(F.datediff("l_shipdate", "o_orderdate"), F.lit(7))
-    allowed = F.array(*[F.lit(d) for d in SCHEDULED_DAYS])
-    priority = F.substring("o_orderpriority", 1, 1).cast("int")
-    return lines.select(
-        "*",
-        lead.alias("lead"),
-        F.element_at(allowed, priority).alias("scheduled"),
-        F.round(F.col("l_extendedprice") * 100).cast("bigint").alias("price_cents"),
-        (
-            F.col("l_extendedprice") * (1 - F.col("l_discount"))
-            - F.col("l_quantity") * F.col("p_retailprice")
-        ).alias("line_profit"),
-    )
-
-
-def _status() -> Column:
+    customer = table(spark, sf_dir, "customer").join(nation, F.expr("c_nationkey = n_nationkey"))
+    orders = table(spark, sf_dir, "orders").join(customer, F.expr("o_custkey = c_custkey"))
+    allowed = ", ".join(str(days) for days in SCHEDULED_DAYS)
     return (
-        F.when(F.col("lead") > F.col("scheduled"), "Late delivery")
-        .when(F.col("lead") == F.col("scheduled"), "Shipping on time")
-        .otherwise("Advance shipping")
+        table(spark, sf_dir, "lineitem")
+        .join(table(spark, sf_dir, "part"), F.expr("l_partkey = p_partkey"))
+        .join(orders, F.expr("l_orderkey = o_orderkey"))
+        .selectExpr(
+            "*",
+            "pmod(datediff(l_shipdate, o_orderdate), 7) AS lead",
+            f"element_at(array({allowed}), int(substring(o_orderpriority, 1, 1))) AS scheduled",
+            "bigint(round(l_extendedprice * 100)) AS price_cents",
+            "l_extendedprice * (1 - l_discount) - l_quantity * p_retailprice AS line_profit",
+        )
     )
 
 
-def _moment_text(moment: Column) -> Column:
+def _moment_text(moment: str) -> str:
     return (
-        F.when(F.col("l_orderkey") % 2 == 0, F.date_format(moment, "M/d/yyyy H:mm"))
-        .otherwise(F.date_format(moment, "yyyy-MM-dd HH:mm:ss"))
+        f"CASE WHEN l_orderkey % 2 = 0 THEN date_format({moment}, 'M/d/yyyy H:mm') "
+        f"ELSE date_format({moment}, 'yyyy-MM-dd HH:mm:ss') END"
     )
 
 
-def _hits(column: str, every: int) -> Column:
-    return F.col(column) % every == 0
-
-
 def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw layout with planted faults; text where a raw file holds text."""
-    hour = F.expr("INTERVAL '1' HOUR")
-    ordered = F.col("o_orderdate").cast(MOMENT)
-    shipped = ordered + F.make_dt_interval(days=F.col("lead"))
-    night = _hits("l_orderkey", 13) & (F.col("lead") == 1)
-    backwards = _hits("l_orderkey", 17) & (F.col("lead") == 0)
-    order_moment = F.when(night, ordered + F.expr("INTERVAL '23' HOUR")).otherwise(ordered)
-    ship_moment = (
-        F.when(night, shipped + hour).when(backwards, shipped - hour).otherwise(shipped)
-    )
-    copies = F.when(_hits("l_orderkey", 20), 2).otherwise(1)
-    product = F.when(
-        _hits("l_partkey", 101) & _hits("l_linenumber", 2),
-        F.concat("p_name", F.lit(" (renamed)")),
-    ).otherwise(F.col("p_name"))
-    return (
-        joined_lines(spark, sf_dir)
-        .withColumn("copy", F.explode(F.sequence(F.lit(1), copies)))
-        .select(
-            *LINE_KEY,
-            F.when(_hits("l_orderkey", 211), "not a date")
-            .otherwise(_moment_text(order_moment))
-            .alias("order date (DateOrders)"),
-            _moment_text(ship_moment).alias("shipping date (DateOrders)"),
-            F.when(~_hits("l_suppkey", 7), (F.col("lead") > F.col("scheduled")).cast("int"))
-            .alias("Late_delivery_risk"),
-            F.when(~_hits("c_custkey", 97), F.col("n_name")).alias("Order Region"),
-            F.col("r_name").alias("Market"),
-            F.col("n_name").alias("Order Country"),
-            F.col("l_partkey").alias("Product Card Id"),
-            product.alias("Product Name"),
-            F.col("p_type").alias("Category Name"),
-            F.col("p_brand").alias("Department Name"),
-            F.col("o_custkey").alias("Customer Id"),
-            F.col("c_mktsegment").alias("Customer Segment"),
-            F.col("n_name").alias("Customer Country"),
-            F.col("n_name").alias("Customer City"),
-            F.col("r_name").alias("Customer State"),
-            F.when(~_hits("l_orderkey", 301), F.col("l_orderkey")).alias("Order Id"),
-            _status().alias("Delivery Status"),
-            F.col("l_extendedprice").alias("Sales"),
-            F.when(_hits("l_partkey", 53), "n.a.")
-            .otherwise(F.col("line_profit").cast("string"))
-            .alias("Order Profit Per Order"),
-            F.col("l_discount").alias("Order Item Discount Rate     "),
-            F.col("l_quantity").cast("int").alias("Order Item Quantity"),
-            F.when(F.col("l_orderkey") % 10 >= 6, F.concat(F.lit("About "), "p_name"))
-            .alias("Product Description"),
-        )
+    at_night = "l_orderkey % 13 = 0 AND lead = 1"
+    backwards = "l_orderkey % 17 = 0 AND lead = 0"
+    moments = joined_lines(spark, sf_dir).selectExpr(
+        "*",
+        f"o_orderdate + make_dt_interval(0, IF({at_night}, 23, 0)) AS ordered",
+        f"""o_orderdate + make_dt_interval(
+            lead, CASE WHEN {at_night} THEN 1 WHEN {backwards} THEN -1 ELSE 0 END) AS shipped""",
+        "explode(sequence(1, IF(l_orderkey % 20 = 0, 2, 1))) AS copy",
     )
-
-
-def tidy_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same table in its cleaned layout, without faults and without text dates."""
-    ordered = F.col("o_orderdate").cast(MOMENT)
-    return joined_lines(spark, sf_dir).select(
+    return moments.selectExpr(
         *LINE_KEY,
-        ordered.alias("order_date_dateorders"),
-        (ordered + F.make_dt_interval(days=F.col("lead"))).alias("shipping_date_dateorders"),
-        (F.col("lead") > F.col("scheduled")).cast("int").alias("late_delivery_risk"),
-        F.col("n_name").alias("order_region"),
-        F.col("r_name").alias("market"),
-        F.col("n_name").alias("order_country"),
-        F.col("l_partkey").alias("product_card_id"),
-        F.col("p_name").alias("product_name"),
-        F.col("p_type").alias("category_name"),
-        F.col("p_brand").alias("department_name"),
-        F.col("o_custkey").alias("customer_id"),
-        F.col("c_mktsegment").alias("customer_segment"),
-        F.col("n_name").alias("customer_country"),
-        F.col("n_name").alias("customer_city"),
-        F.col("r_name").alias("customer_state"),
-        F.col("l_orderkey").alias("order_id"),
-        _status().alias("delivery_status"),
-        F.col("l_extendedprice").alias("sales"),
-        F.col("line_profit").alias("order_profit_per_order"),
-        F.col("l_discount").alias("order_item_discount_rate"),
-        F.col("l_quantity").cast("int").alias("order_item_quantity"),
+        f"""CASE WHEN l_orderkey % 211 = 0 THEN 'not a date' ELSE {_moment_text('ordered')} END
+            AS `order date (DateOrders)`""",
+        f"{_moment_text('shipped')} AS `shipping date (DateOrders)`",
+        "CASE WHEN l_suppkey % 7 <> 0 THEN int(lead > scheduled) END AS Late_delivery_risk",
+        "CASE WHEN c_custkey % 97 <> 0 THEN n_name END AS `Order Region`",
+        "r_name AS Market",
+        "n_name AS `Order Country`",
+        "l_partkey AS `Product Card Id`",
+        """CASE WHEN l_partkey % 101 = 0 AND l_linenumber % 2 = 0 THEN p_name || ' (renamed)'
+            ELSE p_name END AS `Product Name`""",
+        "p_type AS `Category Name`",
+        "p_brand AS `Department Name`",
+        "o_custkey AS `Customer Id`",
+        "c_mktsegment AS `Customer Segment`",
+        "n_name AS `Customer Country`",
+        "n_name AS `Customer City`",
+        "r_name AS `Customer State`",
+        "CASE WHEN l_orderkey % 301 <> 0 THEN l_orderkey END AS `Order Id`",
+        """CASE WHEN lead > scheduled THEN 'Late delivery' WHEN lead = scheduled
+            THEN 'Shipping on time' ELSE 'Advance shipping' END AS `Delivery Status`""",
+        "l_extendedprice AS Sales",
+        """CASE WHEN l_partkey % 53 = 0 THEN 'n.a.' ELSE string(line_profit) END
+            AS `Order Profit Per Order`""",
+        "l_discount AS `Order Item Discount Rate     `",
+        "int(l_quantity) AS `Order Item Quantity`",
+        "CASE WHEN l_orderkey % 10 >= 6 THEN 'About ' || p_name END AS `Product Description`",
     )
