@@ -48,17 +48,18 @@ def forecast_eligibility(series: DataFrame, min_months: int = MIN_MONTHS) -> Dat
     )
 
 
-def _likelihood(w: Column, p: Column, q: Column) -> Column:
+def _likelihood(w: Column, p: Column, phi: Column, point: Column) -> Column:
     """One grid point: the objective first, so that ``min`` finds the best fit.
 
-    State of the recursion: the next prediction and its relative variance ``r``,
-    the sum of squared scaled errors, and the product of all ``r``.
+    ``point`` holds q, theta and theta squared. State of the recursion: the next
+    prediction and its relative variance ``r``, the sum of squared scaled errors,
+    and the product of all ``r``.
     """
-    phi, theta = p / F.lit(float(GRID)), q / F.lit(float(GRID))
+    q, theta, theta2 = point["q"], point["theta"], point["theta2"]
     one = F.lit(1.0)
     start = F.struct(
         F.lit(0.0).alias("ahead"),
-        ((one + F.lit(2.0) * phi * theta + theta * theta) / (one - phi * phi)).alias("r"),
+        ((one + F.lit(2.0) * phi * theta + theta2) / (one - phi * phi)).alias("r"),
         F.lit(0.0).alias("squares"),
         one.alias("product"),
     )
@@ -68,7 +69,7 @@ def _likelihood(w: Column, p: Column, q: Column) -> Column:
         error = value - state["ahead"]
         return F.struct(
             (phi * value + theta / r * error).alias("ahead"),
-            (one + theta * theta - theta * theta / r).alias("r"),
+            (one + theta2 - theta2 / r).alias("r"),
             (state["squares"] + error * error / r).alias("squares"),
             (state["product"] * r).alias("product"),
         )
@@ -95,12 +96,22 @@ def _likelihood(w: Column, p: Column, q: Column) -> Column:
 def _best_point(df: DataFrame, p_range: Column, q_range: Column, carry: list[str]) -> DataFrame:
     """Try every (p, q); one row per region and p, spread over all cores."""
     cores = df.sparkSession.sparkContext.defaultParallelism
-    rows = df.select("*", F.explode(p_range).alias("p"), q_range.alias("q_range")).repartition(
-        cores, "region_name", "p"
+
+    def point(q: Column) -> Column:
+        theta = q / F.lit(float(GRID))
+        names = [F.lit(name) for name in ("q", "theta", "theta2")]
+        return F.named_struct(names[0], q, names[1], theta, names[2], theta * theta)
+
+    rows = (
+        df.select("*", F.explode(p_range).alias("p"), F.transform(q_range, point).alias("points"))
+        .withColumn("phi", F.col("p") / F.lit(float(GRID)))
+        .repartition(cores, "region_name", "p")
+    )
+    tried = F.transform(
+        "points", lambda q: _likelihood(F.col("w"), F.col("p"), F.col("phi"), q)
     )
-    tried = F.array_min(F.transform("q_range", lambda q: _likelihood(F.col("w"), F.col("p"), q)))
     return (
-        rows.select(*carry, tried.alias("best"))
+        rows.select(*carry, F.array_min(tried).alias("best"))
         .groupBy("region_name")
         .agg(F.min("best").alias("best"), *[F.first(c).alias(c) for c in carry[1:]])
     )
