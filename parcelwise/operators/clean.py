@@ -38,8 +38,10 @@ def give_types(df: DataFrame) -> DataFrame:
     casts = {}
     for name, target in TEXT_TYPES.items():
         if name in texts:
-            # Whole numbers may be written with a fraction ("12.0").
-            casts[name] = number(F.col(name)).try_cast(target)
+            # Whole numbers may be written with a fraction ("12.0"); the detour over
+            # double is taken only then, as it would round long ids.
+            exact = number(F.col(name)) if target == "double" else F.col(name).try_cast(target)
+            casts[name] = F.coalesce(exact, number(F.col(name)).try_cast(target))
     return df.withColumns(casts) if casts else df
 
 

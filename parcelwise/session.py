@@ -7,8 +7,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Settings every job relies on. Sizes (memory, cores, shuffle partitions) are
-# left to the cluster: AQE coalesces or splits shuffle partitions at run time.
+# Settings every job relies on, at any size.
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -21,11 +20,35 @@ SETTINGS = {
 }
 
 
-def build_session(app: str = "parcelwise", master: str | None = None, **extra) -> SparkSession:
+MB = 1024**2
+
+
+def sizing(input_bytes: float) -> dict[str, str]:
+    """Partition sizes for an input of this many bytes.
+
+    About half a gigabyte of input per shuffle partition fits an executor core's
+    memory; AQE merges what turns out small. Input splits grow with the input, as
+    the number of shuffle blocks is splits times shuffle partitions.
+    """
+    partitions = min(max(int(input_bytes / (512 * MB)), 200), 100_000)
+    split = min(max(int(input_bytes / 200_000), 128 * MB), 1024 * MB)
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.files.maxPartitionBytes": str(split),
+    }
+
+
+def build_session(
+    app: str = "parcelwise",
+    master: str | None = None,
+    input_bytes: float | None = None,
+    **extra,
+) -> SparkSession:
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for key, value in {**SETTINGS, **extra}.items():
+    sized = sizing(input_bytes) if input_bytes else {}
+    for key, value in {**SETTINGS, **sized, **extra}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 

@@ -66,6 +66,13 @@ def test_bad_values_become_null_or_zero(spark):
     assert {r[0] for r in labelled.select("order_year_month").collect()} == {"NaT", "2022-01"}
 
 
+def test_long_ids_stay_exact(spark):
+    ids = ["9007199254740993", "12.0", "many"]
+    raw = raw_rows(spark, *[{"Order Id": i} for i in ids])
+    found = {r["order_id"] for r in clean.tidy_rows(raw).collect()}
+    assert found == {9007199254740993, 12, None}
+
+
 def test_lead_days_round_down_and_both_formats_parse(spark):
     cases = {
         ("2022-01-15 23:00:00", "2022-01-16 01:00:00"): 0,

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from parcelwise.operators import classify, feeds, kpi
+from parcelwise.session import sizing
 from parcelwise.sources import tables
 
 FACT = (
@@ -65,6 +66,13 @@ def test_filters_reach_the_scan(spark, fact, tmp_path):
     assert "region_name" in pushed and "year_month" in pushed and "risk_tier" in pushed
 
 
+def test_partition_sizes_follow_the_input():
+    small, large = sizing(1e9), sizing(100e12)
+    assert small["spark.sql.shuffle.partitions"] == "200"
+    assert 100e12 / int(large["spark.sql.shuffle.partitions"]) <= 1e9 + 1
+    assert int(small["spark.sql.files.maxPartitionBytes"]) < int(large["spark.sql.files.maxPartitionBytes"])
+
+
 def test_month_filters_prune_partitions(fact):
     text = plan(kpi.monthly_risk_by_region(fact).filter(F.col("year_month") == "2022-05"))
     assert "PartitionFilters: [isnotnull(year_month" in text
