@@ -116,6 +116,11 @@ def anomaly_rate_by_region(scores: DataFrame) -> DataFrame | None:
     )
 
 
+def forecast_regions(forecasts: DataFrame) -> DataFrame:
+    """Regions with a forecast, in name order: the choices of the chart's selector."""
+    return forecasts.select("region_name").distinct().orderBy("region_name")
+
+
 def forecast_for_region(forecasts: DataFrame, region: str) -> DataFrame:
     return forecasts.filter(F.col("region_name") == region).orderBy("forecast_step")
 

@@ -13,8 +13,11 @@ def profile_shape(df: DataFrame) -> DataFrame:
     )
 
 
-def profile_nulls(df: DataFrame, top: int = 15) -> DataFrame:
-    """The columns with the most nulls, counted in one pass; ties in column order."""
+def profile_nulls(df: DataFrame, top: int | None = 15) -> DataFrame:
+    """The columns with the most nulls, counted in one pass; ties in column order.
+
+    ``top=None`` lists every column with its type.
+    """
     per_column = F.array(
         *[
             F.struct(
@@ -26,17 +29,16 @@ def profile_nulls(df: DataFrame, top: int = 15) -> DataFrame:
             for position, field in enumerate(df.schema.fields)
         ]
     )
-    return (
+    ranked = (
         df.agg(F.count("*").alias("rows"), per_column.alias("per_column"))
         .select("rows", F.inline("per_column"))
         .orderBy(F.desc("null_count"), "position")
-        .limit(top)
-        .select(
-            "column_name",
-            "column_type",
-            "null_count",
-            F.try_divide(F.col("null_count") * 100, F.col("rows")).alias("null_pct"),
-        )
+    )
+    return (ranked if top is None else ranked.limit(top)).select(
+        "column_name",
+        "column_type",
+        "null_count",
+        F.try_divide(F.col("null_count") * 100, F.col("rows")).alias("null_pct"),
     )
 
 

@@ -45,6 +45,7 @@ def dashboard_feed(
         "latest_risk": feeds.latest_risk_by_region(chosen),
         "late_trend": feeds.late_trend(chosen),
         "anomaly_rate": feeds.anomaly_rate_by_region(chosen),
+        "forecast_regions": feeds.forecast_regions(forecasts),
         "forecast_bands": feeds.forecast_bands(forecasts),
         "departments": feeds.department_performance(spark.table(DEPARTMENT_VIEW)),
     }

@@ -13,8 +13,10 @@ from ..operators import anomaly, classify, forecast, score
 from ..sources import models, runs, tables
 from .ingest import MONTHLY_VIEW
 
+# Names under which runs are logged.
 EXPERIMENT = "late_delivery_risk"
 RUN_NAME = "random_forest_v1"
+
 # Integer columns that tell order lines apart when they are drawn into samples.
 SPLIT_KEY = ["order_id", "product_id", "customer_id", "quantity"]
 

@@ -107,6 +107,7 @@ def test_bands_and_departments(spark):
         "lower_bound double, upper_bound double",
     )
     assert [r["forecast_step"] for r in feeds.forecast_for_region(forecasts, "a").collect()] == [1, 2]
+    assert [r[0] for r in feeds.forecast_regions(forecasts).collect()] == ["a", "b"]
     bands = {r["predicted_risk"]: (r["error_up"], r["error_down"], r["colour"]) for r in feeds.forecast_bands(forecasts).collect()}
     assert bands[40.0] == (15.0, 10.0, "#EF9F27") and bands[70.0][2] == "#E24B4A"
     departments = spark.createDataFrame(
