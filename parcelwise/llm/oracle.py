@@ -1,3 +1,80 @@
 """Independent SQL for the queries of this subpackage that SQL can express."""
 
 ORACLE: dict[str, str] = {}
+
+ORACLE["op1_warc_reassembly"] = """
+WITH bodies AS (SELECT page_id, coalesce(html, '') AS body FROM pages),
+firsts AS (SELECT body, max(page_id) AS first FROM bodies GROUP BY body),
+hashed AS (SELECT page_id, body, first, sha1(body) AS hex FROM bodies JOIN firsts USING (body))
+SELECT page_id,
+       strlen(body) AS payload_bytes,
+       list_reduce(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+           (((('0x' || substr(hex, (5 * (i // 4) + 1)::INTEGER, 5))::BIGINT >> (15 - 5 * (i % 4))::BIGINT) & 31)
+            + 1)::INTEGER, 1)), lambda a, b: a || b) AS payload_digest,
+       CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first THEN first END AS refers_to
+FROM hashed
+"""
+
+ORACLE["op7_poisson_mixing"] = """
+WITH RECURSIVE sizes AS (SELECT source, sum(length(text)) AS size FROM documents GROUP BY source),
+rates AS (
+    SELECT source, sum(size) OVER () * (1.0::DOUBLE / count(*) OVER ()) / size AS rate FROM sizes
+),
+steps AS (
+    SELECT source, rate, 0 AS k, exp(-rate) AS p, exp(-rate) AS below FROM rates
+    UNION ALL
+    SELECT source, rate, k + 1, p * rate / (k + 1), below + p * rate / (k + 1)
+    FROM steps WHERE k < rate + 12 * sqrt(rate) + 40
+),
+tables AS (SELECT source, list(below ORDER BY k) AS below FROM steps GROUP BY source),
+drawn AS (
+    SELECT d.*, len(list_filter(t.below, lambda p:
+        p <= ('0x' || substr(md5('7|' || doc_id), 1, 13))::BIGINT / 4503599627370496.0::DOUBLE)) AS copies
+    FROM documents d JOIN tables t ON d.source IS NOT DISTINCT FROM t.source
+),
+copied AS (SELECT * EXCLUDE (copies), unnest(range(1, copies + 1))::INTEGER AS copy FROM drawn)
+SELECT *, ('0x' || substr(md5('7|order|' || doc_id || '|' || copy), 1, 13))::BIGINT
+          / 4503599627370496.0::DOUBLE AS shuffle_key
+FROM copied
+"""
+
+ORACLE["op8_voronoi_top_k"] = """
+WITH whole AS (
+    SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+    FROM embeddings
+    WHERE embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+pairs AS (
+    SELECT q.vec_id AS query_id, d.vec_id, list_inner_product(q.v, d.v)::BIGINT AS score
+    FROM whole q JOIN whole d ON q.vec_id % 50 = 0 AND d.vec_id <> q.vec_id
+),
+ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank
+    FROM pairs
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+"""
+
+ORACLE["op9_spherical_caps"] = """
+WITH RECURSIVE usable AS (
+    SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS v FROM embeddings
+    WHERE len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+      AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+),
+links AS (
+    SELECT a.vec_id AS a, b.vec_id AS b FROM usable a JOIN usable b
+    ON a.vec_id <> b.vec_id AND list_cosine_similarity(a.v, b.v) >= 0.95
+),
+reach AS (
+    SELECT a AS node, b AS other FROM links
+    UNION
+    SELECT r.node, l.b FROM reach r JOIN links l ON r.other = l.a
+),
+counts AS (SELECT a AS vec_id, count(*) AS n_links FROM links GROUP BY a),
+roots AS (SELECT node AS vec_id, min(least(node, other)) AS root FROM reach GROUP BY node)
+SELECT vec_id, coalesce(n_links, 0) AS n_links, coalesce(root, vec_id) AS component_id,
+       coalesce(root, vec_id) = vec_id AS kept
+FROM embeddings LEFT JOIN counts USING (vec_id) LEFT JOIN roots USING (vec_id)
+"""
