@@ -78,3 +78,42 @@ SELECT vec_id, coalesce(n_links, 0) AS n_links, coalesce(root, vec_id) AS compon
        coalesce(root, vec_id) = vec_id AS kept
 FROM embeddings LEFT JOIN counts USING (vec_id) LEFT JOIN roots USING (vec_id)
 """
+
+ORACLE["op10_jaccard_relations"] = r"""
+WITH RECURSIVE words AS (
+    SELECT doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x20\x09-\x0D]+') AS w
+    FROM documents
+),
+sets AS (
+    SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+        ELSE list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i+1] || ' ' || w[i+2]))
+        END AS s
+    FROM words
+),
+grams AS (SELECT doc_id, len(s) AS n, unnest(s) AS g FROM sets),
+frequent AS (SELECT g, count(*) AS df FROM grams GROUP BY g),
+ordered AS (
+    SELECT doc_id, n, g, row_number() OVER (PARTITION BY doc_id ORDER BY df, g) AS k
+    FROM grams JOIN frequent USING (g)
+),
+prefixes AS (SELECT doc_id, n, g FROM ordered WHERE k <= n - ceil(0.9 * n - 0.000001) + 1),
+candidates AS (
+    SELECT DISTINCT x.doc_id AS a, y.doc_id AS b FROM prefixes x JOIN prefixes y
+    ON x.g = y.g AND x.doc_id < y.doc_id AND 100 * least(x.n, y.n) >= 90 * greatest(x.n, y.n)
+),
+verified AS (
+    SELECT a, b FROM candidates c JOIN sets x ON x.doc_id = a JOIN sets y ON y.doc_id = b
+    WHERE 100 * len(list_intersect(x.s, y.s)) >= 90 * (len(x.s) + len(y.s) - len(list_intersect(x.s, y.s)))
+),
+links AS (SELECT a, b FROM verified UNION ALL SELECT b, a FROM verified),
+reach AS (
+    SELECT a AS node, b AS other FROM links
+    UNION
+    SELECT r.node, l.b FROM reach r JOIN links l ON r.other = l.a
+),
+roots AS (SELECT node AS doc_id, min(least(node, other)) AS root FROM reach GROUP BY node)
+SELECT doc_id, len(s)::BIGINT AS n_shingles, coalesce(root, doc_id) AS component_id
+FROM sets LEFT JOIN roots USING (doc_id)
+"""
