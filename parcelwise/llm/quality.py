@@ -10,10 +10,13 @@ fitted by Adam; only the chunk that holds a filter's maximum passes a gradient b
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
-from pyspark.sql import DataFrame, functions as F
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from .common import batches_of, held_out, rows_of, small_batches
+from .common import held_out, small_batches
 from .sampling import per_class
 
 DEPTH, LAGS = 7, 20
@@ -25,8 +28,6 @@ STEPS, BATCH, RATE = 1000, 64, 0.004
 # Bytes convolved at once when scoring; bounds memory for long texts.
 PART = 96 * 1024
 
-SCORED = "doc_id long, score double"
-
 
 def repeats(byte: np.ndarray) -> np.ndarray:
     """Of the LAGS earlier places of each byte, the share that hold the same byte."""
@@ -75,7 +76,9 @@ class Network:
             best = np.maximum(best, (self.chunks(part[before:], same) @ self.params["filters"]).max(0))
         return best
 
-    def score(self, texts: list[str | None]) -> np.ndarray:
+    def score(self, texts) -> np.ndarray:
+        if not len(texts):
+            return np.zeros(0)
         pooled = np.stack([self.pooled((t or "").encode("utf-8", "replace")) for t in texts])
         hidden = np.tanh(pooled + self.params["bias"])
         return 1 / (1 + np.exp(-(hidden @ self.params["out"] + self.params["base"]).astype(np.float64)))
@@ -156,20 +159,29 @@ def fit(documents: DataFrame, labels: DataFrame, rows: int = FIT_ROWS, longest:
     )
 
 
-def score(df: DataFrame, network: Network | None) -> DataFrame:
-    """doc_id and score (0 to 1, higher: label 1 likelier) of every row of ``df`` (doc_id, text).
+def scorer(spark: SparkSession, network: Network | None):
+    """A function from a column of texts to their scores, from 0 to 1, higher: label 1 likelier.
 
     A null text counts as empty, and an empty one as a chunk of zeros; without a network
-    every score is 0.5. Repeated rows are scored once each; other columns are not read.
+    every score is 0.5.
     """
-    small_batches(df.sparkSession)
-    shared = df.sparkSession.sparkContext.broadcast(network)
+    small_batches(spark)
+    shared = spark.sparkContext.broadcast(network)
 
-    def run(batches):
+    def run(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         found = shared.value
-        for batch in batches:
-            ids, texts = batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()
-            scores = [0.5] * len(ids) if found is None else found.score(texts).tolist()
-            yield from zip(ids, scores)
+        for part in texts:
+            yield pd.Series([0.5] * len(part) if found is None else found.score(part), dtype="float64")
+
+    return F.pandas_udf(run, "double", F.PandasUDFType.SCALAR_ITER)
+
+
+def score(df: DataFrame, network: Network | None) -> DataFrame:
+    """doc_id and score of every row of ``df`` (doc_id, text); other columns are not read."""
+    return df.select("doc_id", scorer(df.sparkSession, network)("text").alias("score"))
+
 
-    return df.select("doc_id", "text").mapInArrow(lambda b: batches_of(run(b), SCORED), SCORED)
+def keep(df: DataFrame, network: Network | None, least: float) -> DataFrame:
+    """The rows of ``df`` that score at least ``least``, with their columns as they are."""
+    scored = df.select(F.struct("*").alias("row"), scorer(df.sparkSession, network)("text").alias("score"))
+    return scored.filter(F.col("score") >= least).select("row.*")

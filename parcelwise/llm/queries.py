@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import caps, id_files, jaccard, language, mixing, packing, quality, voronoi, warc
+from . import caps, id_files, jaccard, language, lines, mixing, packing, quality, voronoi, warc
 from .common import held_out, table
 from .tokens import Encoder, vocabulary
 from .vectors import usable
@@ -87,3 +87,8 @@ def op9_spherical_caps(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_jaccard_relations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_duplicates(table(spark, sf_dir, "documents"), width=3, percent=90)
+
+
+@query
+def op6_line_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.dedup(table(spark, sf_dir, "documents"))
