@@ -55,14 +55,16 @@ def encode_block(ids: np.ndarray) -> np.ndarray:
         return np.zeros(0, np.uint64)
     selector = np.full(n, ESCAPE, np.int8)
     top = int(ids.max())
+    # ``over`` counts the ids before each place that need more bits; places past the end need none.
+    over = np.zeros(n + 61, np.int32)
     for s in range(len(SELECTORS) - 1, -1, -1):
         count, bits = SELECTORS[s]
-        if top >> bits:
-            bad = np.concatenate([[0], np.cumsum(ids >> np.uint64(bits) != 0, dtype=np.int32)])
-        else:
-            bad = np.zeros(n + 1, np.int32)
-        ends = np.minimum(np.arange(n) + count, n)
-        fits = bad[ends] == bad[:-1]
+        if not top >> bits:
+            selector[:] = s
+            continue
+        np.cumsum(ids >= np.uint64(1 << bits), out=over[1 : n + 1], dtype=np.int32)
+        over[n + 1 :] = over[n]
+        fits = over[count : n + count] == over[:n]
         if not fits.any():
             break
         selector[fits] = s

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from . import caps, id_files, jaccard, language, lines, mixing, packing, quality, voronoi, warc
 from .common import held_out, table
-from .tokens import Encoder, vocabulary
+from .tokens import Encoder, shared_encoder
 from .vectors import usable
 from ..session import shared_folder
 
@@ -22,11 +22,11 @@ def query(function):
 
 
 def byte_words() -> Encoder:
-    return Encoder(vocabulary("byte_bpe_50k.json"))
+    return shared_encoder("byte_bpe_50k.json")
 
 
 def folded_words() -> Encoder:
-    return Encoder(vocabulary("word_bpe_49k.json"), folds=True)
+    return shared_encoder("word_bpe_49k.json", folds=True)
 
 
 @query

@@ -12,6 +12,7 @@ as the borders inside a run of white space depend on the whole run.
 
 from __future__ import annotations
 
+import functools
 import os
 
 # Words a worker remembers in each of two generations. Bounds its memory only.
@@ -148,3 +149,10 @@ class Encoder:
                 out.append(self._run(" " * (start > 0) + " ".join(words[start:k])))
             start = k
         return b"".join(out)
+
+
+@functools.cache
+def shared_encoder(name: str, folds: bool = False) -> Encoder:
+    """One encoder per vocabulary and worker process: tasks that follow each other there
+    neither load the file nor meet the same words again."""
+    return Encoder(vocabulary(name), folds)
