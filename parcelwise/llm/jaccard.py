@@ -20,7 +20,7 @@ import math
 from collections.abc import Iterator
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .common import batches_of, drop_staged, small_batches, stage
 from .components import components
@@ -35,8 +35,11 @@ LAST = 200_000
 # Leaders per list and round; the round after them compares all that is left.
 LEADERS = (1, 3)
 
-FACT = "kind int, doc_id long, row_key long, n long, name long"
-SET = "set_id long, n long, sketch array<long>, grams binary"
+# Bits of the map by which tasks skip documents whose set no pair needs.
+MAP_BITS = 1 << 24
+
+FACT = "kind int, doc_id long, row_key long, n long, name long, sketch array<long>"
+SET = "set_id long, grams binary"
 
 
 def texts_of(batch, *columns) -> Iterator[tuple]:
@@ -50,14 +53,14 @@ def facts(rows: DataFrame, width: int) -> DataFrame:
         grams, counts = np.unique(np.concatenate(held), return_counts=True)
         often = counts >= max(3, FREQUENT * documents)
         for gram, count in zip(grams[often].view(np.int64).tolist(), counts[often].tolist()):
-            yield 1, None, None, count, gram
+            yield 1, None, None, count, gram, None
 
     def run(batches):
         held, total = [], 0
         for batch in batches:
             for doc_id, key, text in texts_of(batch, "doc_id", "row_key"):
                 grams = shingle_set(text, width)
-                yield 0, doc_id, key, len(grams), set_name(grams)
+                yield 0, doc_id, key, len(grams), set_name(grams), parity_sketch(grams).tolist()
                 held.append(grams)
                 total += len(grams)
             if total > COUNTED:
@@ -131,16 +134,21 @@ def overlap_needed(a: Column, b: Column, percent: int) -> Column:
 
 
 def shared_lists(entries: DataFrame, percent: int) -> DataFrame:
-    """Entries of shingles that more than one set has, once for each size bucket they meet in."""
-    several = (
-        entries.groupBy("gram").agg(F.min("set_id").alias("x"), F.max("set_id").alias("y"))
-        .filter("x <> y").select("gram")
-    )
+    """Entries of lists with more than one set: a list has a shingle's entries of two size
+    buckets that follow each other, so an entry is in two lists. One shuffle, by shingle;
+    the windows and the removal of repeated sets keep its partitions."""
+    several = Window.partitionBy("gram")
+    both = Window.partitionBy("gram", "bucket")
     bucket = F.floor(F.log(F.col("n")) / F.lit(math.log(100 / percent)) + F.lit(1e-9))
     return (
-        entries.join(several, "gram")
+        entries.repartition("gram")
+        .withColumn("alone", F.min("set_id").over(several) == F.max("set_id").over(several))
+        .filter("not alone")
         .dropDuplicates(["gram", "set_id"])
         .withColumn("bucket", F.explode(F.array(bucket, bucket + 1)))
+        .withColumn("alone", F.min("set_id").over(both) == F.max("set_id").over(both))
+        .filter("not alone")
+        .select("gram", "bucket", "set_id", "n", "at")
     )
 
 
@@ -195,21 +203,61 @@ def all_pairs(lists: DataFrame, percent: int) -> DataFrame:
     )
 
 
-def verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs that reach the similarity: first by sketch, then by their sets."""
+def likely(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """The pairs whose sketches leave the similarity possible."""
 
-    def side(columns, name):
-        return sets.select(F.col("set_id").alias(name), *[F.col(c).alias(f"{c}_{name}") for c in columns])
+    def side(name):
+        return sketches.select(F.col("set_id").alias(name), *[F.col(c).alias(f"{c}_{name}") for c in ("n", "sketch")])
 
-    sketched = pairs.join(side(["n", "sketch"], "a"), "a").join(side(["n", "sketch"], "b"), "b")
     apart = F.aggregate(
         F.zip_with("sketch_a", "sketch_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))),
         F.lit(0),
         lambda total, x: total + x,
     )
-    total = F.col("n_a") + F.col("n_b")
-    likely = sketched.filter(apart <= total - 2 * overlap_needed(F.col("n_a"), F.col("n_b"), percent))
-    likely = stage(likely.select("a", "b"), "likely-pairs")
+    most = F.col("n_a") + F.col("n_b") - 2 * overlap_needed(F.col("n_a"), F.col("n_b"), percent)
+    joined = pairs.join(side("a"), "a").join(side("b"), "b")
+    return joined.filter(apart <= most).select("a", "b")
+
+
+def sets_of(rows: DataFrame, pairs: DataFrame, sketches: DataFrame, width: int) -> DataFrame:
+    """The sets that ``pairs`` name, each built from one document.
+
+    Texts are not joined: the keys of those documents fill a map of MAP_BITS bits, which
+    has the same size whatever their number, and tasks pass over rows that are not in it.
+    """
+    names = pairs.select(F.col("a").alias("set_id")).union(pairs.select("b")).distinct()
+    keys = names.join(sketches.select("set_id", "row_key"), "set_id").select("set_id", "row_key")
+    keys = stage(keys, "set-keys")
+    place = F.xxhash64("row_key").bitwiseAND(MAP_BITS - 1)
+    filled = (
+        keys.select(F.shiftright(place, 6).alias("word"), place.bitwiseAND(63).cast("int").alias("bit"))
+        .groupBy("word")
+        .agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("bits"))
+        .collect()
+    )
+    bits = np.zeros(MAP_BITS // 64, np.int64)
+    bits[[r.word for r in filled]] = [r.bits for r in filled]
+    shared = rows.sparkSession.sparkContext.broadcast(bits)
+
+    def build(batches):
+        told: set[int] = set()
+        for batch in batches:
+            places = batch.column("place").to_numpy()
+            wanted = (shared.value[places >> 6] >> (places & 63)) & 1
+            for k in np.flatnonzero(wanted).tolist():
+                grams = shingle_set(batch.column("text")[k].as_py(), width)
+                if (name := set_name(grams)) not in told:
+                    told.add(name)
+                    yield name, grams.tobytes()
+
+    built = rows.select("text", place.alias("place")).mapInArrow(
+        lambda b: batches_of(build(b), SET, 128), SET
+    )
+    return stage(built.dropDuplicates(["set_id"]), "sets")
+
+
+def verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs whose sets reach the similarity."""
 
     def run(batches):
         for batch in batches:
@@ -221,7 +269,8 @@ def verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 if 100 * both >= percent * (len(x) + len(y) - both):
                     yield a, b
 
-    fetched = likely.join(side(["grams"], "a"), "a").join(side(["grams"], "b"), "b")
+    fetched = pairs.join(sets.select(F.col("set_id").alias("a"), F.col("grams").alias("grams_a")), "a")
+    fetched = fetched.join(sets.select(F.col("set_id").alias("b"), F.col("grams").alias("grams_b")), "b")
     return fetched.mapInArrow(lambda b: batches_of(run(b), "a long, b long"), "a long, b long")
 
 
@@ -230,43 +279,34 @@ def linked_sets(rows: DataFrame, found: DataFrame, width: int, percent: int) ->
     entries = stage(postings(rows, width, percent, frequent_order(found)), "postings")
     lists = stage(shared_lists(entries, percent), "prefix-lists")
     drop_staged(entries)
-    # The sets that meet another one in a list, built from one document each.
-    wanted = lists.select("set_id").distinct()
-    documents = found.filter("kind = 0").groupBy(F.col("name").alias("set_id")).agg(
-        F.min("row_key").alias("row_key")
-    ).join(wanted, "set_id")
-
-    def build(batches):
-        for batch in batches:
-            for name, text in texts_of(batch, "set_id"):
-                grams = shingle_set(text, width)
-                yield name, len(grams), parity_sketch(grams).tolist(), grams.tobytes()
-
-    sets = stage(
-        rows.select("row_key", "text").join(documents, "row_key").select("set_id", "text")
-        .mapInArrow(lambda b: batches_of(build(b), SET, 256), SET),
-        "sets",
-    )
+    one = F.min(F.struct("row_key", "n", "sketch")).alias("one")
+    sketches = found.filter("kind = 0").groupBy(F.col("name").alias("set_id")).agg(one)
+    sketches = stage(sketches.select("set_id", "one.*"), "sketches")
     tested = links = roots = None
     for turn, leaders in enumerate([*LEADERS, None]):
         if roots is None:
             placed = lists.withColumn("root", F.col("set_id"))
         else:
             placed = lists.join(roots.withColumnRenamed("node", "set_id"), "set_id", "left")
-            placed = placed.withColumn("root", F.coalesce("root", "set_id"))
+            placed = stage(placed.withColumn("root", F.coalesce("root", "set_id")), "placed-lists")
         if leaders:
             pairs = leader_pairs(placed, leaders, turn, percent)
         else:
             pairs = all_pairs(placed, percent)
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = stage(pairs, "pairs")
+        pairs = stage(likely(pairs, sketches, percent), "likely-pairs")
+        if roots is not None:
+            drop_staged(placed)
+        if pairs.isEmpty():
+            continue
         tested = pairs if tested is None else tested.unionByName(pairs)
+        sets = sets_of(rows, pairs, sketches, width)
         similar = stage(verify(pairs, sets, percent), "links")
+        drop_staged(sets)
         links = similar if links is None else links.unionByName(similar)
         if not similar.isEmpty():
             roots = components(links)
-    drop_staged(sets)
     drop_staged(lists)
     return roots
 
