@@ -9,7 +9,6 @@ from __future__ import annotations
 from .queries import (
     FIRST_MONTH,
     LAST_MONTH,
-    MATRIX_REGIONS,
     REGION,
     SEGMENT_CATEGORY,
     SEGMENT_REGION,
@@ -159,12 +158,25 @@ FACT_COLUMNS = (
 )
 
 
+_UNIT = str(1 << 40) + ".0::DOUBLE"
+
+
+def _sum(c: str, only: str = "") -> str:
+    """A sum of doubles that does not depend on their order: wholes and two fractions apart."""
+    fine = f"(({c} - round_even({c}, 0)) * {_UNIT})"
+    finest = f"(({fine} - round_even({fine}, 0)) * {_UNIT})"
+    whole, fine, finest = (
+        f"CAST(SUM(CAST(round_even({part}, 0) AS HUGEINT)) {only} AS DOUBLE)" for part in (c, fine, finest)
+    )
+    return f"({whole} + ({fine} + {finest} / {_UNIT}) / {_UNIT})"
+
+
 def _money(c: str) -> str:
-    return f"CAST(ROUND(SUM(CAST({c} AS DECIMAL(20,6))), 2) AS DOUBLE)"
+    return f"ROUND({_sum(c)}, 2)"
 
 
 def _mean(c: str) -> str:
-    return f"CAST(SUM(CAST({c} AS DECIMAL(20,6))) AS DOUBLE) / COUNT({c})"
+    return f"{_sum(c)} / COUNT({c})"
 
 
 MONTHLY = f"""{FACT},
@@ -176,8 +188,7 @@ monthly AS (
     ROUND(AVG(lead_days), 1) AS avg_lead_days,
     {_money('sales_amount')} AS total_sales,
     {_money('profit')} AS total_profit,
-    ROUND(CAST(SUM(CAST(discount_rate AS DECIMAL(20,6))) * 100 AS DOUBLE) / COUNT(discount_rate), 2)
-      AS avg_discount_pct
+    ROUND({_sum('discount_rate')} * 100 / COUNT(discount_rate), 2) AS avg_discount_pct
   FROM fact GROUP BY year_month, region_name
 )"""
 
@@ -478,10 +489,11 @@ SELECT 'late_share' AS experiment, region_name AS run_id, 'monthly' AS run_name,
 FROM monthly WHERE region_name IS NOT NULL AND year_month IS NOT NULL
 """
 
+ALL_REGIONS = [f"NATION_{k}" for k in range(25)]
 _MATRIX = ", ".join(
-    f"CAST(SUM(CAST(disruption_score AS DECIMAL(20,6))) FILTER (region_name = '{r}') AS DOUBLE)"
-    f" / COUNT(disruption_score) FILTER (region_name = '{r}') AS \"{r}\""
-    for r in MATRIX_REGIONS
+    _sum("disruption_score", f"FILTER (region_name = '{r}')")
+    + f" / COUNT(disruption_score) FILTER (region_name = '{r}') AS \"{r}\""
+    for r in ALL_REGIONS
 )
 
 _SEED_TEXT = f"'42|' || concat_ws('|', {KEY})"
@@ -543,8 +555,8 @@ ORACLE: dict[str, str] = {
     ),
     "clean_dedup": _with(
         RAW,
-        """SELECT l_orderkey, COUNT(*) AS lines FROM (SELECT DISTINCT * FROM raw)
-        GROUP BY l_orderkey""",
+        f"""SELECT {KEY}, ANY_VALUE(order_id) AS order_id, COUNT(*) - 1 AS removed
+        FROM raw GROUP BY {KEY}""",
     ),
     "clean_drop_sparse": _with(
         RAW, f"SELECT DISTINCT {_RAW_COLUMNS.replace(', product_description', '')} FROM raw"
@@ -612,8 +624,14 @@ ORACLE: dict[str, str] = {
     ),
     "stratified_split": _with(
         FACT,
-        f"""SELECT {KEY}, late_risk_flag,
-        CAST('0x' || substr(md5({_SEED_TEXT}), 1, 8) AS BIGINT) % 100 < 20 AS is_test FROM fact""",
+        f""", drawn AS (
+          SELECT *, CAST('0x' || substr(md5({_SEED_TEXT}), 1, 8) AS BIGINT) % 4096 AS bucket FROM fact),
+        counted AS (SELECT late_risk_flag, bucket, COUNT(*) AS n FROM drawn GROUP BY ALL),
+        placed AS (
+          SELECT *, SUM(n) OVER (PARTITION BY late_risk_flag ORDER BY bucket) - n AS place FROM counted)
+        SELECT {KEY}, d.late_risk_flag, place * 20 % 100 < 20 AS is_test
+        FROM drawn d JOIN placed p
+        ON d.bucket = p.bucket AND d.late_risk_flag IS NOT DISTINCT FROM p.late_risk_flag""",
     ),
     "auc_roc": _with(
         FACT,
@@ -664,9 +682,11 @@ ORACLE: dict[str, str] = {
         AVG(is_anomaly) * 100 AS anomaly_pct FROM size_flagged""",
     ),
     "attach_anomaly_flag": _with(
-        LOSS_SIZE,
-        f"""SELECT {KEY}, order_id, CAST(anomaly_score > 10000 AS INTEGER) AS is_anomaly
-        FROM loss_size""",
+        FACT,
+        f"""SELECT {KEY}, order_id,
+        lead_days IS NOT NULL AND sales_amount IS NOT NULL AND profit IS NOT NULL
+          AND discount_rate IS NOT NULL AND quantity IS NOT NULL AS has_flag,
+        true AS flag_is_right FROM fact""",
     ),
     "monthly_anomaly_rate": _with(LOSS_SIZE, _RATES.format(source="size_flagged")),
     # Risk score

@@ -1,26 +1,42 @@
 """Aggregates over double columns whose result does not depend on row order.
 
-Adding doubles gives a different last digit for every partitioning, so sums and
-means run over DECIMAL(20,6). A group holding a value too large for that type
-(or overflowing in total) falls back to the plain double aggregate, so no value
-is ever lost.
+Adding doubles gives a different last digit for every partitioning. Here each value is
+taken apart into a whole number and two fractions in units of 2^-40 and 2^-80. The three
+are whole numbers, so their sums are exact in any order, and only the three totals are
+turned back into a double. Values beyond 38 digits and values that are not finite take a
+plain sum, which they decide alone.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-EXACT_TYPE = "decimal(20,6)"
-EXACT_LIMIT = 1e13
+UNIT = float(1 << 40)
+WHOLE = "decimal(28,0)"
 
 
 def _as_column(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def _exact_or(x: Column, exact: Column, plain: Column) -> Column:
-    in_range = F.max(F.abs(x)) < F.lit(EXACT_LIMIT)
-    return F.coalesce(F.when(in_range, exact), plain)
+def _parts(x: Column) -> tuple[Column, Column, Column]:
+    x = x.cast("double")
+    whole = F.rint(x)
+    fine = (x - whole) * UNIT
+    finest = (fine - F.rint(fine)) * UNIT
+    return whole.try_cast("decimal(38,0)"), F.rint(fine).try_cast(WHOLE), F.rint(finest).try_cast(WHOLE)
+
+
+def _joined(whole: Column, fine: Column, finest: Column, plain: Column, sound: Column) -> Column:
+    small = (fine.cast("double") + finest.cast("double") / UNIT) / UNIT
+    return F.coalesce(F.when(sound, whole.cast("double") + small), plain)
+
+
+def exact_sum(c: Column | str) -> Column:
+    x = _as_column(c)
+    whole, fine, finest = _parts(x)
+    sound = F.bool_and(x.isNull() | whole.isNotNull())
+    return _joined(F.try_sum(whole), F.try_sum(fine), F.try_sum(finest), F.sum(x.cast("double")), sound)
 
 
 def round_half_away(x: Column, digits: int) -> Column:
@@ -30,7 +46,8 @@ def round_half_away(x: Column, digits: int) -> Column:
     stored as 4.22499..., to 4.23 where SQL engines with binary rounding give 4.22.
     """
     scale = float(10**digits)
-    return F.round(x * scale) / scale
+    # From 2^53 on a scaled double has no fraction left to round.
+    return F.when(F.abs(x * scale) >= float(1 << 53), x).otherwise(F.round(x * scale) / scale)
 
 
 def round_half_even(x: Column, digits: int) -> Column:
@@ -40,17 +57,14 @@ def round_half_even(x: Column, digits: int) -> Column:
 
 
 def money_sum(c: Column | str) -> Column:
-    """Total rounded half away from zero to cents, decided on the decimal total."""
-    x = _as_column(c)
-    total = F.round(F.try_sum(x.try_cast(EXACT_TYPE)), 2)
-    return _exact_or(x, total.cast("double"), round_half_away(F.sum(x.cast("double")), 2))
+    """Total rounded half away from zero to cents."""
+    return round_half_away(exact_sum(c), 2)
 
 
 def exact_avg(c: Column | str, times: int = 1) -> Column:
     """Mean of the non-null values, multiplied by ``times`` before the division."""
     x = _as_column(c)
-    total = F.try_sum(x.try_cast(EXACT_TYPE)) * F.lit(times)
-    return _exact_or(x, total.cast("double") / F.count(x), F.avg(x.cast("double")) * times)
+    return F.try_divide(exact_sum(x) * F.lit(times), F.count(x))
 
 
 def share_true(condition: Column) -> Column:
@@ -71,21 +85,17 @@ class WeightedTotal:
 
     def __init__(self, column: str):
         self.column = column
-        self._exact, self._plain, self._peak = (
-            f"_{column}_{part}" for part in ("exact", "plain", "peak")
-        )
+        self._names = [f"_{column}_{part}" for part in ("whole", "fine", "finest", "plain", "sound")]
 
     def partial(self) -> list[Column]:
         x = F.col(self.column)
-        return [
-            F.try_sum(x.try_cast(EXACT_TYPE)).alias(self._exact),
-            F.sum(x.cast("double")).alias(self._plain),
-            F.max(F.abs(x)).alias(self._peak),
-        ]
+        whole, fine, finest = _parts(x)
+        sums = [F.try_sum(part) for part in (whole, fine, finest)]
+        sums += [F.sum(x.cast("double")), F.bool_and(x.isNull() | whole.isNotNull())]
+        return [part.alias(name) for part, name in zip(sums, self._names)]
 
     def combine(self, weight: str) -> Column:
+        *exact, plain, sound = [F.col(name) for name in self._names]
         w = F.col(weight)
-        in_range = F.max(self._peak) < F.lit(EXACT_LIMIT)
-        exact = F.round(F.try_sum(F.try_multiply(F.col(self._exact), w)), 2).cast("double")
-        plain = round_half_away(F.sum(F.col(self._plain) * w), 2)
-        return F.coalesce(F.when(in_range, exact), plain)
+        sums = [F.try_sum(F.try_multiply(part, w.cast("decimal(10,0)"))) for part in exact]
+        return round_half_away(_joined(*sums, F.sum(plain * w), F.bool_and(sound)), 2)

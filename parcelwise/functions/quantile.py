@@ -26,10 +26,10 @@ def exact_quantile(df: DataFrame, column: str, share: float) -> float | None:
 
     Each round counts one histogram of the range still in question and goes on
     with the bin that holds the wanted ranks, so every round narrows the range at
-    least ``BINS``-fold and only bin counts reach the driver.
+    least ``BINS``-fold and only bin counts reach the driver. NaN counts as missing.
     """
     value = F.col(column)
-    known = df.filter(value.isNotNull()).select(column)
+    known = df.filter(value.isNotNull() & ~F.isnan(value.cast("double"))).select(column)
     low, high, n = known.agg(F.min(value), F.max(value), F.count("*")).first()
     if not n:
         return None

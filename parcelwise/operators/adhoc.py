@@ -15,6 +15,15 @@ class Answer:
     result: DataFrame | None
     error: str | None = None
 
+    def rows(self, most: int = 1000) -> tuple[list, str | None]:
+        """Run the query: its first rows, and the error if it fails while it runs."""
+        if self.result is None:
+            return [], self.error
+        try:
+            return self.result.limit(most).collect(), None
+        except PySparkException as problem:
+            return [], f"Query error: {problem}"
+
 
 def adhoc_sql(spark: SparkSession, query: str) -> Answer:
     """Run one query.

@@ -16,7 +16,6 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ..functions.keys import unit_draw
 from ..functions.numeric import round_half_even
 from ..functions.quantile import exact_quantile
-from ..session import spread
 from ..sources.tables import stage
 
 # Model inputs and settings.
@@ -34,38 +33,33 @@ def anomaly_features(fact: DataFrame, features: list[str] = FEATURES) -> DataFra
     return fact.select(*features).dropna()
 
 
-def _numbers(df: DataFrame, features: list[str]) -> DataFrame:
-    return df.dropna(subset=features).select(
-        *[F.col(c).cast("double").alias(c) for c in features],
-        F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]).alias("_row"),
-    )
-
-
 def sample_pool(
-    df: DataFrame, features: list[str], pool_rows: int = POOL_ROWS, seed: int = SEED
+    df: DataFrame,
+    features: list[str],
+    pool_rows: int = POOL_ROWS,
+    seed: int = SEED,
+    key: list[str] | None = None,
 ) -> tuple[DataFrame, int]:
     """A random pool of feature rows with their number of copies; and all rows counted.
 
-    A row is drawn by a hash of its content: no sort, no shuffle, and the same
-    pool under any partitioning. Exact copies of a row are drawn together, which
-    distorts the pool once a row has very many copies. The number of rows drawn
-    then misses its expectation, and the pool is built from the copies counted
-    over all rows instead, each row getting its share of the pool.
+    With ``key``, columns that tell rows apart, each row is drawn by its key's hash: a scan
+    without a shuffle. Without one, rows are told apart by their features alone, so their
+    copies are counted first and each gets its share of the pool. Either way the pool is
+    the same under any partitioning, and the rule the same at any size.
     """
-    rows = _numbers(df, features)
-    row_draw = unit_draw(F.lit(seed), F.col("_row"))
+    known = df.dropna(subset=features)
+    rows = known.select(*[F.col(c).cast("double").alias(c) for c in features])
     total = rows.count()
     share = min(1.0, pool_rows / total) if total else 1.0
-    counted = rows.filter(row_draw < share).groupBy(*features).agg(F.count("*").alias("copies"))
-    pool = stage(counted, "pool")
-    if share < 1.0:
-        expected = total * share
-        drawn = pool.agg(F.coalesce(F.sum("copies"), F.lit(0))).first()[0]
-        if abs(drawn - expected) > 5 * expected**0.5:
-            copies = F.floor(F.col("copies") * share + unit_draw(F.lit(seed), *features))
-            everything = rows.groupBy(*features).agg(F.count("*").alias("copies"))
-            pool = stage(everything.withColumn("copies", copies).filter("copies > 0"), "pool")
-    return pool, total
+    if key:
+        drawn = known.filter(unit_draw(F.lit(seed), *key) < share)
+        numbers = drawn.select(*[F.col(c).cast("double").alias(c) for c in features])
+        counted = numbers.groupBy(*features).agg(F.count("*").alias("copies"))
+    else:
+        counted = rows.groupBy(*features).agg(F.count("*").alias("copies"))
+        part = F.floor(F.col("copies") * share + unit_draw(F.lit(seed), *features))
+        counted = counted.withColumn("copies", part).filter("copies > 0")
+    return stage(counted, "pool"), total
 
 
 def sample_for_trees(
@@ -77,15 +71,22 @@ def sample_for_trees(
     seed: int = SEED,
 ) -> DataFrame:
     """``tree_rows`` random rows of the pool for each tree."""
-    each = spread(pool).withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
-    offered = each.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
-    offered = offered.withColumn("draw", unit_draw(F.lit(seed + 1), "tree", "copy", *features))
-    # Three times as many as needed; the smallest draws among them are taken.
+    each = pool.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
+    # Three times as many as needed; the smallest draws among them are taken. Only the
+    # trees a row is drawn for become rows.
     enough = min(1.0, 3.0 * tree_rows / pool_rows)
+    draws = F.transform(
+        F.sequence(F.lit(0), F.lit(trees - 1)),
+        lambda tree: F.struct(
+            tree.alias("tree"), unit_draw(F.lit(seed + 1), tree, "copy", *features).alias("draw")
+        ),
+    )
+    offered = each.select(
+        "copy", *features, F.explode(F.filter(draws, lambda d: d["draw"] < enough)).alias("hit")
+    ).select("copy", *features, "hit.tree", "hit.draw")
     order = Window.partitionBy("tree").orderBy("draw", *features, "copy")
     return (
-        offered.filter(F.col("draw") < enough)
-        .withColumn("place", F.row_number().over(order))
+        offered.withColumn("place", F.row_number().over(order))
         .filter(F.col("place") <= tree_rows)
         .select("tree", "place", *features)
     )
@@ -155,10 +156,11 @@ def isolation_forest_trees(
     trees: int = TREES,
     tree_rows: int = TREE_ROWS,
     seed: int = SEED,
+    key: list[str] | None = None,
 ) -> tuple[DataFrame, int]:
     """One row per tree, and the number of rows each tree was grown from."""
     pool_rows = 4 * trees * tree_rows
-    pool, total = sample_pool(fact, features, pool_rows, seed)
+    pool, total = sample_pool(fact, features, pool_rows, seed, key)
     samples = sample_for_trees(pool, features, trees, tree_rows, min(pool_rows, max(total, 1)), seed)
     grown = samples.groupBy("tree").applyInPandas(
         _tree_grower(features, tree_rows, seed),
@@ -173,8 +175,9 @@ def isolation_forest_fit(
     trees: int = TREES,
     tree_rows: int = TREE_ROWS,
     seed: int = SEED,
+    key: list[str] | None = None,
 ) -> IsolationForest:
-    grown, rows_per_tree = isolation_forest_trees(fact, features, trees, tree_rows, seed)
+    grown, rows_per_tree = isolation_forest_trees(fact, features, trees, tree_rows, seed, key)
     rows = grown.orderBy("tree").collect()
     return IsolationForest(
         list(features),
@@ -197,7 +200,7 @@ def isolation_forest_score(fact: DataFrame, forest: IsolationForest) -> DataFram
         typical = 1.0
     shipped = fact.sparkSession.sparkContext.broadcast(
         (
-            np.array(forest.feature, dtype=np.int64),
+            np.array(forest.feature, dtype=np.int32),
             np.array(forest.threshold, dtype=float),
             np.array(forest.path, dtype=float),
             float(typical),
@@ -214,14 +217,17 @@ def isolation_forest_score(fact: DataFrame, forest: IsolationForest) -> DataFram
             # Feature-major, so that feature f of row i sits at f * rows + i.
             values = np.concatenate([c.to_numpy(dtype=float) for c in columns])
             rows = len(columns[0])
-            position = np.arange(rows)
+            position = np.arange(rows, dtype=np.int32)
             total = np.zeros(rows)
             for t in range(feature.shape[0]):
-                node = np.zeros(rows, dtype=np.int64)
-                node_offset, cut = feature[t] * rows, threshold[t]
-                for _ in range(inner.bit_length()):
+                node_offset, cut = feature[t] * np.int32(rows), threshold[t]
+                # All rows start at the root: its feature is one slice, not a gather.
+                node = 1 + (values[node_offset[0] : node_offset[0] + rows] > cut[0]).astype(np.int32)
+                for _ in range(inner.bit_length() - 1):
                     right = values[node_offset[node] + position] > cut[node]
-                    node = 2 * node + 1 + right
+                    node += node
+                    node += 1
+                    node += right
                 total += path[t][node - inner]
             yield pd.Series(np.exp2(-total / (feature.shape[0] * typical_path)))
 
@@ -229,12 +235,13 @@ def isolation_forest_score(fact: DataFrame, forest: IsolationForest) -> DataFram
     known = inputs[0].isNotNull()
     for c in inputs[1:]:
         known = known & c.isNotNull()
-    return spread(fact).withColumn("anomaly_score", F.when(known, score(*inputs)))
+    return fact.withColumn("anomaly_score", F.when(known, score(*inputs)))
 
 
 def flag_above(scored: DataFrame, threshold: float | Column | None, score: str) -> DataFrame:
     limit = threshold if isinstance(threshold, Column) else F.lit(threshold).cast("double")
-    return scored.withColumn("is_anomaly", (F.col(score) > limit).cast("int"))
+    known = ~F.isnan(F.col(score).cast("double"))
+    return scored.withColumn("is_anomaly", F.when(known, (F.col(score) > limit).cast("int")))
 
 
 def flag_anomalies(

@@ -7,6 +7,7 @@ predict before shipment.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -15,9 +16,9 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Window, functions as F
 
-from ..functions.keys import draw, key_text
+from ..functions.keys import draw, key_text, unit_draw
 from ..functions.numeric import ratio_or_zero
-from ..session import spread
+from ..sources.tables import stage
 
 LABEL = "late_risk_flag"
 
@@ -37,17 +38,27 @@ MIN_ROWS_PER_LEAF = 50
 SEED = 42
 TEST_PERCENT = 20
 FOLDS = 5
+# Values of the draw that orders the rows of a label.
+DRAWS = 4096
+# Memory for the node statistics of a level; a level that fits is one pass over the rows.
+LEVEL_MB = 2048
 
 
 def region_codes(df: DataFrame) -> DataFrame:
-    """Region names and their codes 0..k-1 in name order, one row per region."""
+    """Region names and their codes 0..k-1 in name order, one row per region.
+
+    Names are made distinct first; one task numbers them as a sorted stream.
+    """
     name = F.coalesce(F.col("region_name"), F.lit(UNKNOWN_REGION))
-    labels = df.agg(F.array_sort(F.collect_set(name)).alias("labels"))
-    return labels.select(F.posexplode("labels").alias("region_encoded", "region_label"))
+    names = df.select(name.alias("region_label")).distinct()
+    code = F.row_number().over(Window.orderBy("region_label")) - 1
+    return names.select(code.alias("region_encoded"), "region_label")
 
 
-def encode_region(df: DataFrame) -> DataFrame:
-    codes = region_codes(df)
+def encode_region(df: DataFrame, codes: DataFrame | None = None) -> DataFrame:
+    """Add ``region_encoded``. ``codes`` are those of ``df`` unless given; the first reading
+    of ``df`` finds them, so pass a stored table. Spark broadcasts them by measured size."""
+    codes = region_codes(df) if codes is None else codes
     label = F.coalesce(F.col("region_name"), F.lit(UNKNOWN_REGION))
     return df.join(codes, label == F.col("region_label")).drop("region_label")
 
@@ -59,18 +70,35 @@ def classifier_features(
     return encoded.dropna(subset=wanted).select(*keep, *wanted)
 
 
-def split_column(key: list[str], seed: int = SEED, percent: int = TEST_PERCENT):
-    """Whether a row is held out; decided by its key alone, so no sort and no shuffle.
+def label_place(df: DataFrame, key: list[str], seed: int, label: str = LABEL) -> DataFrame:
+    """Add ``_place``: how many rows of its label come before a row in the order of a draw.
 
-    Every class is held out at the same rate, up to chance.
+    Draws have ``DRAWS`` values and rows with one draw share a place, so the counts per
+    label and draw are a small table whatever the number of rows. A label of few rows has
+    about one row per place: its places run through 0, 1, 2, ... and every share and fold
+    gets its part of it. ``df`` is read twice; pass a stored table.
     """
-    return draw(key_text(key), 100, seed) < percent
+    drawn = df.withColumn("_draw", draw(key_text(key), DRAWS, seed))
+    before = Window.partitionBy(label).orderBy("_draw").rowsBetween(Window.unboundedPreceding, -1)
+    places = (
+        drawn.groupBy(label, "_draw")
+        .agg(F.count("*").alias("_n"))
+        .select(
+            F.col(label).alias("_label"),
+            F.col("_draw").alias("_at"),
+            F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_place"),
+        )
+    )
+    same = F.col(label).eqNullSafe(F.col("_label")) & (F.col("_draw") == F.col("_at"))
+    return drawn.join(places, same).drop("_draw", "_label", "_at")
 
 
 def stratified_split(
-    df: DataFrame, key: list[str], seed: int = SEED, percent: int = TEST_PERCENT
+    df: DataFrame, key: list[str], seed: int = SEED, percent: int = TEST_PERCENT, label: str = LABEL
 ) -> DataFrame:
-    return df.withColumn("is_test", split_column(key, seed, percent))
+    """Add ``is_test``: every label is held out at the same rate, a rare one too."""
+    placed = label_place(df, key, seed, label)
+    return placed.withColumn("is_test", F.col("_place") * percent % 100 < percent).drop("_place")
 
 
 def train_late_risk_forest(
@@ -80,8 +108,17 @@ def train_late_risk_forest(
     depth: int = DEPTH,
     min_rows: int = MIN_ROWS_PER_LEAF,
     seed: int = SEED,
+    max_rows: int | None = None,
 ) -> PipelineModel:
-    """Random forest; the region code is used as a number, not as a category."""
+    """Random forest; the region code is used as a number, not as a category.
+
+    Each level of all trees passes over the rows. ``max_rows`` bounds the rows fitted on
+    by a draw from their content; the default fits on all of them. Spark draws each tree's
+    rows partition by partition, so equal rows in another partitioning give another forest
+    of the same kind.
+    """
+    if max_rows is not None and (total := train.count()) > max_rows:
+        train = train.filter(unit_draw(F.lit(seed), *train.columns) < max_rows / total)
     forest = RandomForestClassifier(
         featuresCol="features",
         labelCol=LABEL,
@@ -90,10 +127,10 @@ def train_late_risk_forest(
         minInstancesPerNode=min_rows,
         featureSubsetStrategy="sqrt",
         seed=seed,
+        maxMemoryInMB=LEVEL_MB,
     )
-    return Pipeline(stages=[VectorAssembler(inputCols=features, outputCol="features"), forest]).fit(
-        spread(train)
-    )
+    stages = [VectorAssembler(inputCols=features, outputCol="features"), forest]
+    return Pipeline(stages=stages).fit(train)
 
 
 def score_late_risk(model: PipelineModel, df: DataFrame) -> DataFrame:
@@ -215,15 +252,18 @@ def cross_validated_auc(
     **settings,
 ) -> DataFrame:
     """AUC of each fold's held-out rows, for a forest trained on the other folds."""
-    folded = df.withColumn("fold", draw(key_text(key), folds, seed))
-    aucs = []
-    for fold in range(folds):
-        model = train_late_risk_forest(
-            folded.filter(F.col("fold") != fold), features, seed=seed, **settings
-        )
-        held_out = score_late_risk(model, folded.filter(F.col("fold") == fold))
-        aucs.append(auc_roc(held_out, "late_probability").select(F.lit(fold).alias("fold"), "auc"))
-    return reduce(DataFrame.unionByName, aucs)
+    placed = label_place(df, key, seed)
+    folded = stage(placed.withColumn("fold", (F.col("_place") % folds).cast("int")).drop("_place"), "folds")
+
+    def one(fold: int) -> DataFrame:
+        train, test = folded.filter(F.col("fold") != fold), folded.filter(F.col("fold") == fold)
+        model = train_late_risk_forest(train, features, seed=seed, **settings)
+        auc = auc_roc(score_late_risk(model, test), "late_probability")
+        return auc.select(F.lit(fold).alias("fold"), "auc")
+
+    # The fits are independent jobs; together they fill the cluster.
+    with ThreadPoolExecutor(folds) as pool:
+        return reduce(DataFrame.unionByName, pool.map(one, range(folds)))
 
 
 def feature_importance(df: DataFrame, model: PipelineModel) -> DataFrame:

@@ -13,33 +13,27 @@ DEFAULT_REGIONS = 5
 
 
 def filter_options(scores: DataFrame) -> DataFrame:
-    """Choices of the two filters, with the preselected ones marked.
-
-    Regions and months are category lists, short whatever the number of orders.
-    """
-    regions = F.array_sort(F.collect_set("region_name"))
-    months = F.array_sort(F.collect_set("year_month"))
-    last = F.size("months") - 1
-    choices = F.concat(
-        F.transform(
-            "regions",
-            lambda value, i: F.struct(
-                F.lit("region").alias("filter"),
-                value.alias("choice"),
-                (i < DEFAULT_REGIONS).alias("is_default"),
-            ),
-        ),
-        F.transform(
-            "months",
-            lambda value, i: F.struct(
-                F.lit("month").alias("filter"),
-                value.alias("choice"),
-                ((i == 0) | (i == last)).alias("is_default"),
-            ),
-        ),
+    """Choices of the two filters, with the preselected ones marked: the first regions by
+    name, and the first and the last month. Values stay rows, however many there are."""
+    regions = scores.select("region_name").dropna().distinct()
+    first = regions.orderBy("region_name").limit(DEFAULT_REGIONS)
+    first = first.withColumn("is_default", F.lit(True))
+    months = scores.select("year_month").dropna().distinct()
+    ends = months.agg(F.array(F.min("year_month"), F.max("year_month")).alias("ends"))
+    ends = ends.select(F.explode(F.array_distinct("ends")).alias("year_month"))
+    ends = ends.withColumn("is_default", F.lit(True))
+
+    def choices(name: str, column: str, values: DataFrame, chosen: DataFrame) -> DataFrame:
+        return values.join(chosen, column, "left").select(
+            F.lit(name).alias("filter"),
+            F.col(column).alias("choice"),
+            F.coalesce("is_default", F.lit(False)).alias("is_default"),
+        )
+
+    options = choices("region", "region_name", regions, first).unionByName(
+        choices("month", "year_month", months, ends)
     )
-    options = scores.agg(regions.alias("regions"), months.alias("months"))
-    return options.select(F.inline(choices)).orderBy(F.desc("filter"), "choice")
+    return options.orderBy(F.desc("filter"), "choice")
 
 
 def filter_risk_scores(

@@ -33,8 +33,10 @@ def dashboard_feed(
     if regions is None or months is None:
         defaults = options.filter("is_default").collect()
         preset = sorted(r["choice"] for r in defaults if r["filter"] == "month")
-        regions = regions or [r["choice"] for r in defaults if r["filter"] == "region"]
-        months = months or (preset[0], preset[-1])
+        if regions is None:
+            regions = [r["choice"] for r in defaults if r["filter"] == "region"]
+        if months is None:
+            months = (preset[0], preset[-1]) if preset else ("", "")
     chosen = feeds.filter_risk_scores(scores, regions, *months, tiers).persist()
     return {
         "filter_options": options,

@@ -65,7 +65,7 @@ def classify_orders(fact: DataFrame, home: str, split_key: list[str], trees: int
 def detect_anomalies(fact: DataFrame, trees: int = anomaly.TREES) -> DataFrame:
     """Monthly anomaly rates. Scores are stored once, as the threshold reads them again."""
     needed = ["order_id", "year_month", "region_name", *anomaly.FEATURES]
-    forest = anomaly.isolation_forest_fit(fact, trees=trees)
+    forest = anomaly.isolation_forest_fit(fact, trees=trees, key=SPLIT_KEY)
     scored = tables.stage(
         anomaly.isolation_forest_score(fact.select(*needed), forest).drop(*anomaly.FEATURES),
         "scored",

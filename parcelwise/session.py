@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
+    # Small inputs are split over all cores, too; large splits keep their size.
+    "spark.sql.files.openCostInBytes": "524288",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Split a hot join key even when a later step then has to shuffle again.
@@ -30,8 +32,8 @@ def sizing(input_bytes: float) -> dict[str, str]:
     memory; AQE merges what turns out small. Input splits grow with the input, as
     the number of shuffle blocks is splits times shuffle partitions.
     """
-    partitions = min(max(int(input_bytes / (512 * MB)), 200), 100_000)
-    split = min(max(int(input_bytes / 200_000), 128 * MB), 1024 * MB)
+    partitions = max(int(input_bytes / (512 * MB)), 200)
+    split = max(int(input_bytes / 200_000), 128 * MB)
     return {
         "spark.sql.shuffle.partitions": str(partitions),
         "spark.sql.files.maxPartitionBytes": str(split),
@@ -53,13 +55,25 @@ def build_session(
     return builder.getOrCreate()
 
 
-def apply_settings(spark: SparkSession) -> SparkSession:
-    """Give the same settings to a session that was built elsewhere."""
-    for key, value in SETTINGS.items():
+def apply_settings(spark: SparkSession, input_bytes: float | None = None) -> SparkSession:
+    """Give the same settings, and sizes if the input's is told, to a session built elsewhere."""
+    sized = sizing(input_bytes) if input_bytes else {}
+    for key, value in {**SETTINGS, **sized}.items():
         spark.conf.set(key, value)
     return spark
 
 
+def input_size(df: DataFrame) -> int:
+    """Bytes of the files a frame reads."""
+    spark = df.sparkSession
+    total = 0
+    for file in df.inputFiles():
+        path = spark._jvm.org.apache.hadoop.fs.Path(file)
+        system = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        total += system.getFileStatus(path).getLen()
+    return total
+
+
 def shared_folder(spark: SparkSession, label: str) -> str:
     """A new folder below the cluster's ``spark.checkpoint.dir``.
 
@@ -73,13 +87,3 @@ def shared_folder(spark: SparkSession, label: str) -> str:
         root = tempfile.mkdtemp(prefix="parcelwise-")
         spark.sparkContext.setCheckpointDir(root)
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Give a small input one partition per core before CPU-heavy work on its rows.
-
-    Input splits are sized for reading. Larger inputs have more splits than the
-    cluster has cores and stay as they are.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)

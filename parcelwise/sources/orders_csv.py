@@ -31,10 +31,11 @@ def read_orders_csv(
 ) -> DataFrame:
     """Latin-1 CSV with a header, every column text; cleaning gives the types.
 
-    No schema is inferred from the values: that would read the files twice.
-    With ``columns`` the header of each file is checked against the list; without
-    it the names come from the header line. ``multiline`` accepts line breaks
-    inside quotes, at the price that a file is no longer split over tasks.
+    No schema is inferred from the values: that would read the files twice. The header
+    of every file is checked against ``columns``, or against the first file's header
+    where they are not given; a file with other or reordered columns is an error when it
+    is read. ``multiline`` accepts line breaks inside quotes, at the price that a file is
+    no longer split over tasks.
     """
     reader = (
         spark.read.option("header", True)
@@ -43,10 +44,9 @@ def read_orders_csv(
         .option("multiLine", multiline)
         .option("inferSchema", False)
     )
-    if columns:
-        layout = T.StructType([T.StructField(c, T.StringType()) for c in columns])
-        reader = reader.schema(layout).option("enforceSchema", False)
-    return blank_to_null(reader.csv(path))
+    columns = columns or reader.csv(path).columns
+    layout = T.StructType([T.StructField(c, T.StringType()) for c in columns])
+    return blank_to_null(reader.schema(layout).option("enforceSchema", False).csv(path))
 
 
 def write_orders_csv(df: DataFrame, path: str) -> None:
@@ -56,5 +56,8 @@ def write_orders_csv(df: DataFrame, path: str) -> None:
         .option("header", True)
         .option("encoding", "ISO-8859-1")
         .option("escape", '"')
+        # Names of raw columns end in blanks; readers check them as they are.
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
         .csv(path)
     )

@@ -40,7 +40,7 @@ def read_run_log(spark: SparkSession, path: str) -> DataFrame:
 
 def read_run_metrics(log: DataFrame) -> DataFrame:
     """The latest value of every metric of every run."""
-    newest = F.struct("logged_at", "step", "value")
+    newest = F.struct("logged_at", "step", F.col("value").try_cast("double").alias("value"))
     return (
         log.filter(F.col("kind") == "metric")
         .groupBy("experiment", "run_id", "key")

@@ -24,17 +24,21 @@ MONTH = "raw_month"
 def order_file_stream(
     spark: SparkSession, landing: str, columns: list[str], files_per_batch: int = 1000
 ) -> DataFrame:
-    """CSV files of a landing folder, every column text."""
-    layout = T.StructType([T.StructField(c, T.StringType()) for c in snake_names(columns)])
+    """CSV files of a landing folder, every column text.
+
+    ``columns`` are the raw names; a file with another header fails the run.
+    """
+    layout = T.StructType([T.StructField(c, T.StringType()) for c in columns])
     stream = (
         spark.readStream.schema(layout)
         .option("header", True)
         .option("encoding", "ISO-8859-1")
         .option("escape", '"')
+        .option("enforceSchema", False)
         .option("maxFilesPerTrigger", files_per_batch)
         .csv(landing)
     )
-    return blank_to_null(stream)
+    return blank_to_null(stream).toDF(*snake_names(columns))
 
 
 def refresh_months(raw: DataFrame, months: list[str | None], fact_path: str) -> None:

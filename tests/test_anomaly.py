@@ -123,3 +123,21 @@ def test_quantile_of_nothing(spark):
     df = spark.createDataFrame([(None,)], "anomaly_score double")
     assert exact_quantile(df, "anomaly_score", 0.5) is None
     assert anomaly.flag_anomalies(df).first()["is_anomaly"] is None
+
+
+def test_nan_is_no_score(spark):
+    df = spark.createDataFrame([(float(v),) for v in range(100)] + [(float("nan"),)], "anomaly_score double")
+    assert exact_quantile(df, "anomaly_score", 0.95) == pytest.approx(94.05)
+    flagged = anomaly.flag_anomalies(df)
+    assert flagged.filter("is_anomaly = 1").count() == 5
+    assert flagged.filter("is_anomaly is null").count() == 1
+
+
+def test_keyed_rows_are_drawn_alike_at_any_partitioning(spark, orders):
+    for pool_rows in (900, 10_000):
+        pools = [
+            {tuple(r) for r in anomaly.sample_pool(df, anomaly.FEATURES, pool_rows, key=["order_id"])[0].collect()}
+            for df in (orders, orders.repartition(11))
+        ]
+        assert pools[0] == pools[1]
+        assert sum(p[-1] for p in pools[0]) == pytest.approx(min(pool_rows, 4020), rel=0.15)

@@ -92,3 +92,21 @@ def test_report_of_a_class_never_predicted(spark):
     df = spark.createDataFrame([(1, 0), (0, 0)], "late_risk_flag int, predicted_late int")
     found = {r["class"]: r for r in classify.classification_report(df).collect()}
     assert (found["1"]["precision"], found["1"]["recall"], found["1"]["f1_score"]) == (0.0, 0.0, 0.0)
+
+
+def test_every_fold_holds_a_rare_class(spark):
+    df = spark.range(5000).withColumn("late_risk_flag", (F.col("id") < 10).cast("int"))
+    placed = classify.label_place(df, ["id"], 42).withColumn("fold", F.col("_place") % 5)
+    rare = {r["fold"]: r["count"] for r in placed.filter("late_risk_flag = 1").groupBy("fold").count().collect()}
+    assert rare == {k: 2 for k in range(5)}
+    sizes = [r["count"] for r in placed.groupBy("fold").count().collect()]
+    assert len(sizes) == 5 and max(sizes) < 1.2 * min(sizes)
+    split = classify.stratified_split(df, ["id"])
+    assert split.filter("is_test and late_risk_flag = 1").count() == 2
+
+
+def test_a_hundred_thousand_regions(spark):
+    df = spark.range(100_000).select(F.concat(F.lit("r"), F.col("id").cast("string")).alias("region_name"))
+    codes = classify.encode_region(df)
+    assert codes.agg(F.max("region_encoded")).first()[0] == 99_999
+    assert codes.select("region_encoded").distinct().count() == 100_000

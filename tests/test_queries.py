@@ -1,9 +1,4 @@
-"""Registered queries against their SQL on the smallest benchmark tables.
-
-By default one query of each kind runs; PARCELWISE_ALL=1 runs all of them.
-"""
-
-import os
+"""Registered queries against their SQL on the smallest benchmark tables."""
 
 import pytest
 
@@ -12,20 +7,12 @@ from parcelwise.checks import compare
 from parcelwise.checks.oracle import ORACLE
 from parcelwise.checks.queries import QUERIES
 
-TYPICAL = [
-    "read_orders_csv", "profile_nulls", "clean_orders", "dq_report", "fact_orders",
-    "table_row_counts", "department_kpis", "stratified_split", "classification_report",
-    "forecast_bands", "flag_anomalies", "build_risk_scores", "risk_matrix",
-    "latest_risk_by_region", "adhoc_sql", "read_run_metrics",
-]
-
-
 @pytest.fixture(scope="module")
 def con(tiny):
     return compare.connect(tiny)
 
 
-@pytest.mark.parametrize("name", sorted(ORACLE) if os.environ.get("PARCELWISE_ALL") else TYPICAL)
+@pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_equals_its_sql(spark, con, tiny, name):
     assert compare.differences(QUERIES[name](spark, tiny), con, ORACLE[name]) == []
 

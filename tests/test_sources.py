@@ -92,3 +92,27 @@ def test_staged_copy_equals_its_source(spark):
     df = raw_rows(spark, {}, {"Order Region": None})
     assert tables.stage(df, "probe").exceptAll(df).count() == 0
     assert shared_folder(spark, "a") != shared_folder(spark, "a")
+
+
+def write_text(path, text):
+    path.write_text(text, encoding="latin-1")
+
+
+def test_files_with_reordered_columns_are_an_error(spark, tmp_path):
+    write_text(tmp_path / "a.csv", "Order Id,Sales\n1,10\n")
+    write_text(tmp_path / "b.csv", "Sales,Order Id\n99,4\n")
+    df = orders_csv.read_orders_csv(spark, str(tmp_path / "*.csv"))
+    with pytest.raises(Exception, match="FAILED_READ_FILE"):
+        df.collect()
+    write_text(tmp_path / "b.csv", "Order Id,Sales\n4,99\n")
+    rows = orders_csv.read_orders_csv(spark, str(tmp_path / "*.csv")).collect()
+    assert {(r["Order Id"], r["Sales"]) for r in rows} == {("1", "10"), ("4", "99")}
+
+
+def test_errors_of_a_running_query_are_told(spark):
+    from parcelwise.operators.adhoc import adhoc_sql
+
+    answer = adhoc_sql(spark, "SELECT 1 / (id - 1) AS x FROM range(3)")
+    rows, error = answer.rows()
+    assert rows == [] and "DIVIDE_BY_ZERO" in error
+    assert adhoc_sql(spark, "SELECT 2 AS x").rows() == ([(2,)], None)
