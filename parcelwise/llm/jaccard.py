@@ -2,15 +2,18 @@
 
 Two sets of Jaccard similarity t or more have sizes within the factor t and share one of
 their first n - ceil(t n) + 1 shingles in any order that holds for all sets. Here the
-order is by hash, with shingles known to be frequent last, the most frequent at the end.
+order is by the frequency of a shingle's words, rare ones first, then by hash; shingles
+known to be frequent themselves come last, the most frequent at the end.
 Inverted lists of those prefixes are cut by shingle and size bucket, so a set meets only
 blocks whose sizes fit, and entries are skipped by position: at a first common shingle,
 what is left of both sets bounds their overlap.
 
 Set relations do the rest. Equal sets are one entry. A set is compared with a leader of
 its lists first; similar to it, it takes over the leader's component, and no pair within a
-component is looked at again. After rounds of one and then more leaders, the pairs left
-are those between components; all of them are compared, so the components are exact.
+component is looked at again. The first leader is the set that has the list's shingle
+earliest: it has the fewest shingles of its own, like the text that others were copied
+from. After rounds of one and then more leaders, the pairs left are those between
+components; all of them are compared, so the components are exact.
 Parity sketches reject most dissimilar pairs before their sets are fetched.
 """
 
@@ -24,14 +27,18 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .common import batches_of, drop_staged, small_batches, stage
 from .components import components
-from .shingles import parity_sketch, set_name, shingle_set
+from .shingles import parity_sketch, runs_of, scored_set, set_name, shingle_set, word_hashes
 
 # Shingles counted at once by a task looking for frequent ones, the share of documents
-# from which one is told on, and how many are put last. They shape the order only: any
-# order gives the same result.
+# from which one is told on, and how many are put last; the same for words, whose levels
+# are looked up in 2^22 places. All this shapes the order only: any order of shingles
+# gives the same result.
 COUNTED = 2_000_000
-FREQUENT = 1 / 1000
-LAST = 200_000
+FREQUENT = 1 / 2000
+LAST = 300_000
+WORD_COUNT = 32
+PLACES = 1 << 22
+LEVELS = 16
 # Leaders per list and round; the round after them compares all that is left.
 LEADERS = (1, 3)
 
@@ -47,76 +54,90 @@ def texts_of(batch, *columns) -> Iterator[tuple]:
 
 
 def facts(rows: DataFrame, width: int) -> DataFrame:
-    """Kind 0: a document's set, by name and size. Kind 1: a frequent shingle and its count."""
+    """Kind 0: a document's set, by name and size. Kind 1: a frequent shingle and its count.
+    Kind 2: the place of a frequent word and its count."""
 
-    def frequent(held, documents):
-        grams, counts = np.unique(np.concatenate(held), return_counts=True)
-        often = counts >= max(3, FREQUENT * documents)
-        for gram, count in zip(grams[often].view(np.int64).tolist(), counts[often].tolist()):
-            yield 1, None, None, count, gram, None
+    def often(kind, held, least):
+        names, counts = np.unique(np.concatenate(held), return_counts=True)
+        high = counts >= least
+        for name, count in zip(names[high].view(np.int64).tolist(), counts[high].tolist()):
+            yield kind, None, None, count, name, None
 
     def run(batches):
-        held, total = [], 0
+        grams_held, words_held, total = [], [], 0
         for batch in batches:
             for doc_id, key, text in texts_of(batch, "doc_id", "row_key"):
-                grams = shingle_set(text, width)
+                words = word_hashes(text or "")
+                grams = np.unique(runs_of(words, width)) if len(words) else words
                 yield 0, doc_id, key, len(grams), set_name(grams), parity_sketch(grams).tolist()
-                held.append(grams)
-                total += len(grams)
+                grams_held.append(grams)
+                words_held.append(words & np.uint64(PLACES - 1))
+                total += len(words)
             if total > COUNTED:
-                yield from frequent(held, len(held))
-                held, total = [], 0
-        if held:
-            yield from frequent(held, len(held))
+                yield from often(1, grams_held, max(3, FREQUENT * len(grams_held)))
+                yield from often(2, words_held, WORD_COUNT)
+                grams_held, words_held, total = [], [], 0
+        if grams_held:
+            yield from often(1, grams_held, max(3, FREQUENT * len(grams_held)))
+            yield from often(2, words_held, WORD_COUNT)
 
     return rows.mapInArrow(lambda b: batches_of(run(b), FACT), FACT)
 
 
-def frequent_order(found: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """The most frequent shingles, sorted, and their ranks by rising count."""
-    top = (
-        found.filter("kind = 1").groupBy("name").agg(F.sum("n").alias("n"))
-        .orderBy(F.desc("n"), "name").limit(LAST).collect()
-    )
-    names = np.array([r.name for r in top], np.int64).view(np.uint64)
-    order = np.argsort(names)
-    ranks = len(top) - 1 - np.arange(len(top))
-    return names[order], ranks[order]
-
-
-def prefix(grams: np.ndarray, last: tuple[np.ndarray, np.ndarray], length: int) -> np.ndarray:
-    """The first ``length`` shingles in the order that holds for all sets."""
-    names, ranks = last
-    if not len(names):
-        return grams[:length]
-    at = np.minimum(np.searchsorted(names, grams), len(names) - 1)
-    often = names[at] == grams
-    rare = grams[~often]
-    if len(rare) >= length:
-        return rare[:length]
-    late = grams[often][np.argsort(ranks[at[often]])]
-    return np.concatenate([rare, late])[:length]
-
-
-def postings(rows: DataFrame, width: int, percent: int, last) -> DataFrame:
+class Order:
+    """The order of shingles that holds for all sets."""
+
+    def __init__(self, found: DataFrame):
+        top = (
+            found.filter("kind = 1").groupBy("name").agg(F.sum("n").alias("n"))
+            .orderBy(F.desc("n"), "name").limit(LAST).collect()
+        )
+        names = np.array([r.name for r in top], np.int64).view(np.uint64)
+        order = np.argsort(names)
+        self.names, self.ranks = names[order], (len(top) - 1 - np.arange(len(top)))[order]
+        # At most PLACES rows.
+        words = found.filter("kind = 2").groupBy("name").agg(F.sum("n").alias("n")).collect()
+        self.levels = np.zeros(PLACES, np.uint8)
+        if words:
+            counts = np.array([r.n for r in words], float)
+            level = LEVELS + np.floor(np.log2(counts / counts.max()))
+            self.levels[[r.name for r in words]] = np.maximum(level, 0)
+
+    def first(self, grams: np.ndarray, scores: np.ndarray, length: int) -> np.ndarray:
+        """The first ``length`` shingles of a set."""
+        late = np.zeros(len(grams), bool)
+        if len(self.names):
+            at = np.minimum(np.searchsorted(self.names, grams), len(self.names) - 1)
+            late = self.names[at] == grams
+        early = np.flatnonzero(~late)
+        keys = (scores[early].astype(np.uint64) << np.uint64(56)) | (grams[early] >> np.uint64(8))
+        out = grams[early[np.argsort(keys, kind="stable")[:length]]]
+        if len(out) < length:
+            rest = np.flatnonzero(late)
+            rest = rest[np.argsort(self.ranks[at[rest]])]
+            out = np.concatenate([out, grams[rest]])[:length]
+        return out
+
+
+def postings(rows: DataFrame, width: int, percent: int, order: Order) -> DataFrame:
     """gram, set_id, n and position of each prefix shingle; a task tells a set once."""
     import pyarrow as pa
 
-    shared = rows.sparkSession.sparkContext.broadcast(last)
+    shared = rows.sparkSession.sparkContext.broadcast(order)
 
     def run(batches):
         told: set[int] = set()
         for batch in batches:
             parts = []
             for (text,) in texts_of(batch):
-                grams = shingle_set(text, width)
+                grams, scores = scored_set(text, width, shared.value.levels)
                 name, n = set_name(grams), len(grams)
                 if not n or name in told:
                     continue
                 if len(told) > 1_000_000:
                     told.clear()
                 told.add(name)
-                first = prefix(grams, shared.value, n - -(-percent * n // 100) + 1)
+                first = shared.value.first(grams, scores, n - -(-percent * n // 100) + 1)
                 size = len(first)
                 parts.append((first.view(np.int64), np.full(size, name), np.full(size, n), np.arange(size)))
             if parts:
@@ -170,10 +191,10 @@ def pairs_of(chosen: DataFrame) -> DataFrame:
 def leader_pairs(lists: DataFrame, leaders: int, turn: int, percent: int) -> DataFrame:
     """Pairs of each entry with some leaders of its list, of another component."""
     entry = F.struct("set_id", "n", "at", "root")
-    leading = [
-        F.min_by(entry, F.xxhash64(F.lit(100 * turn + k), "set_id")).alias(f"leader{k}")
-        for k in range(leaders)
-    ]
+    draw = [F.xxhash64(F.lit(100 * turn + k), "set_id") for k in range(leaders)]
+    if turn == 0:
+        draw[0] = F.struct("at", draw[0])
+    leading = [F.min_by(entry, d).alias(f"leader{k}") for k, d in enumerate(draw)]
     heads = (
         lists.groupBy("gram", "bucket")
         .agg(*leading, F.min("root").alias("low"), F.max("root").alias("high"))
@@ -276,7 +297,7 @@ def verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 def linked_sets(rows: DataFrame, found: DataFrame, width: int, percent: int) -> DataFrame | None:
     """node and root of the sets that have a similar, unequal set; None if there are none."""
-    entries = stage(postings(rows, width, percent, frequent_order(found)), "postings")
+    entries = stage(postings(rows, width, percent, Order(found)), "postings")
     lists = stage(shared_lists(entries, percent), "prefix-lists")
     drop_staged(entries)
     one = F.min(F.struct("row_key", "n", "sketch")).alias("one")

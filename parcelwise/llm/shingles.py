@@ -60,17 +60,32 @@ def _words(byte: np.ndarray) -> np.ndarray:
     return mix((sums[ends] - sums[starts]) * down[starts])
 
 
+def runs_of(words: np.ndarray, width: int) -> np.ndarray:
+    """A hash per run of ``width`` words, or of all words if there are fewer."""
+    span = min(width, len(words))
+    runs = words[: len(words) - span + 1] + np.uint64(span)
+    for k in range(1, span):
+        runs = mix(runs * BASE + words[k : len(words) - span + 1 + k])
+    return runs
+
+
 def shingle_set(text: str | None, width: int) -> np.ndarray:
     """Sorted hashes of the distinct runs of ``width`` words; of a text with fewer words,
     of all its words as one; empty for a text without words or null."""
     words = word_hashes(text) if text else np.zeros(0, np.uint64)
+    return np.unique(runs_of(words, width)) if len(words) else words
+
+
+def scored_set(text: str | None, width: int, levels: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The shingle set, and for each shingle the sum of its words' levels. ``levels`` has
+    a power of two of small numbers, looked up by word hash."""
+    words = word_hashes(text) if text else np.zeros(0, np.uint64)
     if not len(words):
-        return words
+        return words, np.zeros(0, np.int64)
+    grams, first = np.unique(runs_of(words, width), return_index=True)
+    sums = np.concatenate([[0], np.cumsum(levels[(words & np.uint64(len(levels) - 1)).astype(np.int64)], dtype=np.int64)])
     span = min(width, len(words))
-    runs = words[: len(words) - span + 1] + np.uint64(span)
-    for k in range(1, span):
-        runs = mix(runs * BASE + words[k : len(words) - span + 1 + k])
-    return np.unique(runs)
+    return grams, sums[first + span] - sums[first]
 
 
 def set_name(grams: np.ndarray) -> int:
