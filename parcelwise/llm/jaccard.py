@@ -333,7 +333,7 @@ def linked_sets(rows: DataFrame, found: DataFrame, width: int, percent: int) ->
 
 
 def near_duplicates(df: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
-    """doc_id, n_shingles and component_id for each row of ``df`` (doc_id, text).
+    """doc_id, n_shingles, component_id, row_key and kept for each row of ``df`` (doc_id, text).
 
     Two rows link when 100 times the size of their sets' intersection reaches ``percent``
     times that of the union. component_id is the smallest doc_id reachable by links, its
@@ -348,18 +348,35 @@ def near_duplicates(df: DataFrame, width: int = 5, percent: int = 80) -> DataFra
     )
     found = stage(facts(rows, width), "facts")
     roots = linked_sets(rows, found, width, percent)
-    documents = found.filter("kind = 0").select("doc_id", F.col("n").alias("n_shingles"), "name")
+    documents = found.filter("kind = 0").select("doc_id", F.col("n").alias("n_shingles"), "name", "row_key")
     if roots is not None:
         documents = documents.join(roots.withColumnRenamed("node", "name"), "name", "left")
         documents = documents.withColumn("name", F.coalesce("root", "name"))
     full = documents.filter("n_shingles > 0")
-    smallest = full.groupBy("name").agg(F.min("doc_id").alias("component_id"))
+    place = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "row_key")
+    smallest = full.groupBy("name").agg(F.min(place).alias("first"))
     return (
         full.join(smallest, "name")
-        .select("doc_id", "n_shingles", "component_id")
+        .select(
+            "doc_id", "n_shingles", F.col("first.doc_id").alias("component_id"), "row_key",
+            (F.col("row_key") == F.col("first.row_key")).alias("kept"),
+        )
         .unionByName(
             documents.filter("n_shingles = 0").select(
-                "doc_id", "n_shingles", F.col("doc_id").alias("component_id")
+                "doc_id", "n_shingles", F.col("doc_id").alias("component_id"), "row_key",
+                F.lit(True).alias("kept"),
             )
         )
-    )
+    )
+
+
+def one_of_each(df: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
+    """Of each group of ``near_duplicates`` one row stays, that of the smallest doc_id.
+
+    Rows without a doc_id stand behind all others and are told apart by their text's
+    hash; of rows that repeat a doc_id, or a text without one, one stays.
+    """
+    groups = near_duplicates(df, width, percent)
+    kept = groups.filter("kept").select("row_key").distinct()
+    keyed = df.select(F.struct("*").alias("row"), F.coalesce("doc_id", F.xxhash64("text")).alias("row_key"))
+    return keyed.join(kept, "row_key", "left_semi").dropDuplicates(["row_key"]).select("row.*")

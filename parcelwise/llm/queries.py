@@ -86,7 +86,8 @@ def op9_spherical_caps(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op10_jaccard_relations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard.near_duplicates(table(spark, sf_dir, "documents"), width=3, percent=90)
+    groups = jaccard.near_duplicates(table(spark, sf_dir, "documents"), width=3, percent=90)
+    return groups.select("doc_id", "n_shingles", "component_id")
 
 
 @query
