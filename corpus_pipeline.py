@@ -29,16 +29,8 @@ def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents that share most of their five-word shingles the smallest doc_id stays.
-
-    A row without a doc_id stays if no row of its group has one.
-    """
-    groups = jaccard.near_duplicates(docs, width=5, percent=80)
-    kept = groups.filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    named = docs.join(kept.select("doc_id"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    unnamed = docs.filter(F.col("doc_id").isNull())
-    missing = kept.filter(F.col("doc_id").isNull()).select(F.lit(1).alias("one")).limit(1)
-    return named.unionByName(unnamed.join(missing, F.lit(1) == F.col("one"), "left_semi")).select(*docs.columns)
+    """Of documents that share most of their five-word shingles the smallest doc_id stays."""
+    return jaccard.one_of_each(docs, width=5, percent=80)
 
 
 def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
