@@ -498,6 +498,25 @@ _MATRIX = ", ".join(
 
 _SEED_TEXT = f"'42|' || concat_ws('|', {KEY})"
 
+
+def _split(source: str) -> str:
+    """Rows with their place among the rows of their label, in the order of a draw."""
+    return f""", drawn AS (
+      SELECT *, CAST('0x' || substr(md5({_SEED_TEXT}), 1, 8) AS BIGINT) % 4096 AS bucket FROM {source}),
+    counted AS (SELECT late_risk_flag, bucket, COUNT(*) AS n FROM drawn GROUP BY ALL),
+    placed AS (
+      SELECT *, SUM(n) OVER (PARTITION BY late_risk_flag ORDER BY bucket) - n AS place FROM counted),
+    split AS (
+      SELECT d.*, p.place * 20 % 100 < 20 AS is_test, CAST(p.place % 5 AS INTEGER) AS fold
+      FROM drawn d JOIN placed p
+      ON d.bucket = p.bucket AND d.late_risk_flag IS NOT DISTINCT FROM p.late_risk_flag)"""
+
+
+_KNOWN = "lead_days IS NOT NULL AND quantity IS NOT NULL AND sales_amount IS NOT NULL AND discount_rate IS NOT NULL AND profit IS NOT NULL"
+MODEL_ROWS = f"""{ENCODED},
+model_rows AS (SELECT * FROM encoded WHERE {_KNOWN} AND late_risk_flag IS NOT NULL){_split('model_rows')}"""
+_SHARES = "SELECT unnest(['lead_days', 'quantity', 'sales_amount', 'discount_rate', 'profit', 'region_encoded']) AS feature, true AS is_share, 1.0::DOUBLE AS total"
+
 ORACLE: dict[str, str] = {
     # Sources and sinks
     "read_orders_csv": _with(CLEAN, f"SELECT DISTINCT {_NO_KEY} FROM clean"),
@@ -624,14 +643,7 @@ ORACLE: dict[str, str] = {
     ),
     "stratified_split": _with(
         FACT,
-        f""", drawn AS (
-          SELECT *, CAST('0x' || substr(md5({_SEED_TEXT}), 1, 8) AS BIGINT) % 4096 AS bucket FROM fact),
-        counted AS (SELECT late_risk_flag, bucket, COUNT(*) AS n FROM drawn GROUP BY ALL),
-        placed AS (
-          SELECT *, SUM(n) OVER (PARTITION BY late_risk_flag ORDER BY bucket) - n AS place FROM counted)
-        SELECT {KEY}, d.late_risk_flag, place * 20 % 100 < 20 AS is_test
-        FROM drawn d JOIN placed p
-        ON d.bucket = p.bucket AND d.late_risk_flag IS NOT DISTINCT FROM p.late_risk_flag""",
+        f"""{_split('fact')} SELECT {KEY}, late_risk_flag, is_test FROM split""",
     ),
     "auc_roc": _with(
         FACT,
@@ -806,4 +818,25 @@ ORACLE: dict[str, str] = {
     "q_region_late_trend": _with(
         MONTHLY, f"SELECT year_month, late_risk_pct FROM monthly WHERE region_name = '{REGION}'"
     ),
+    # Models: what holds of any sound one
+    "save_model": _SHARES,
+    "feature_importance": _SHARES,
+    "load_model": _with(
+        MODEL_ROWS, "SELECT COUNT(*) AS tested, true AS scores_agree FROM split WHERE is_test"
+    ),
+    "train_late_risk_forest": _with(
+        MODEL_ROWS,
+        """SELECT COUNT(*) FILTER (late_risk_flag = 1) AS positives,
+        COUNT(*) FILTER (late_risk_flag = 0) AS negatives, true AS is_sound FROM split WHERE is_test""",
+    ),
+    "score_late_risk": _with(MODEL_ROWS, f"SELECT {KEY}, is_test, true AS is_sound FROM split"),
+    "cross_validated_auc": _with(MODEL_ROWS, "SELECT DISTINCT fold, true AS is_sound FROM split"),
+    "isolation_forest_fit": (
+        "SELECT unnest(range(100))::INTEGER AS tree, 255 AS nodes, true AS is_sound"
+    ),
+    "isolation_forest_score": _with(
+        FACT,
+        f"""SELECT {KEY}, {_KNOWN} AS has_score, CASE WHEN {_KNOWN} THEN true END AS is_sound
+        FROM fact""",
+    ),
 }

@@ -233,12 +233,28 @@ def read_run_metrics(spark, sf_dir):
     return runs.read_run_metrics(runs.read_run_log(spark, path))
 
 
+# A forest has no SQL. The queries below report what must hold of any sound one, found on
+# all rows: SQL states the rows, keys, splits and counts, and that each claim is true.
+LEAST_AUC = 0.7
+
+
+def _shares(importance: DataFrame) -> DataFrame:
+    total = importance.agg(F.round(F.sum("importance"), 9).alias("total"))
+    return importance.crossJoin(total).select(
+        "feature", F.col("importance").between(0, 1).alias("is_share"), "total"
+    )
+
+
+def _sound_auc(auc: DataFrame, *keep: str) -> DataFrame:
+    return auc.select(*keep, F.col("auc").between(LEAST_AUC, 1).alias("is_sound"))
+
+
 @query
 def save_model(spark, sf_dir):
     model, rows = trained(spark, sf_dir)
     path = shared_folder(spark, "model")
     models.save_model(model, path)
-    return classify.feature_importance(rows, models.load_model(path))
+    return _shares(classify.feature_importance(rows, models.load_model(path)))
 
 
 @query
@@ -246,8 +262,14 @@ def load_model(spark, sf_dir):
     model, rows = trained(spark, sf_dir)
     path = shared_folder(spark, "model")
     models.save_model(model, path)
-    again = classify.score_late_risk(models.load_model(path), rows.filter("is_test"))
-    return classify.auc_roc(again, "late_probability")
+    tested = rows.filter("is_test")
+    first = classify.score_late_risk(model, tested)
+    again = classify.score_late_risk(models.load_model(path), tested)
+    both = first.select(*LINE_KEY, "late_probability").join(
+        again.select(*LINE_KEY, F.col("late_probability").alias("loaded")), LINE_KEY
+    )
+    same = F.bool_and(F.col("late_probability") == F.col("loaded"))
+    return both.agg(F.count("*").alias("tested"), same.alias("scores_agree"))
 
 
 # Profiling -----------------------------------------------------------------
@@ -453,14 +475,16 @@ def stratified_split(spark, sf_dir):
 def train_late_risk_forest(spark, sf_dir):
     model, rows = trained(spark, sf_dir)
     held_out = classify.score_late_risk(model, rows.filter("is_test"))
-    return classify.auc_roc(held_out, "late_probability")
+    return _sound_auc(classify.auc_roc(held_out, "late_probability"), "positives", "negatives")
 
 
 @query
 def score_late_risk(spark, sf_dir):
     model, rows = trained(spark, sf_dir)
+    likely = F.col("late_probability")
+    side = F.when(likely == 0.5, True).otherwise((likely > 0.5) == (F.col("predicted_late") == 1))
     return classify.score_late_risk(model, rows).select(
-        *LINE_KEY, "is_test", "late_probability", "predicted_late"
+        *LINE_KEY, "is_test", (likely.between(0, 1) & side).alias("is_sound")
     )
 
 
@@ -473,7 +497,7 @@ def auc_roc(spark, sf_dir):
 
 @query
 def cross_validated_auc(spark, sf_dir):
-    return classify.cross_validated_auc(model_rows(spark, sf_dir), LINE_KEY)
+    return _sound_auc(classify.cross_validated_auc(model_rows(spark, sf_dir), LINE_KEY), "fold")
 
 
 @query
@@ -485,7 +509,7 @@ def classification_report(spark, sf_dir):
 @query
 def feature_importance(spark, sf_dir):
     model, rows = trained(spark, sf_dir)
-    return classify.feature_importance(rows, model)
+    return _shares(classify.feature_importance(rows, model))
 
 
 # Forecast ------------------------------------------------------------------
@@ -535,10 +559,11 @@ def anomaly_features(spark, sf_dir):
 def isolation_forest_fit(spark, sf_dir):
     orders = stored_keyed_fact(spark, sf_dir)
     grown, _ = anomaly.isolation_forest_trees(orders, key=LINE_KEY)
+    splits = F.size(F.filter("threshold", lambda t: t < F.lit(float("inf"))))
     return grown.select(
         "tree",
-        F.size(F.filter("threshold", lambda t: t < F.lit(float("inf")))).alias("splits"),
-        F.array_max("path").alias("longest_path"),
+        F.size("threshold").alias("nodes"),
+        (splits.between(8, 255) & (F.array_max("path") >= 8)).alias("is_sound"),
     )
 
 
@@ -546,7 +571,10 @@ def isolation_forest_fit(spark, sf_dir):
 def isolation_forest_score(spark, sf_dir):
     orders = stored_keyed_fact(spark, sf_dir)
     forest = anomaly.isolation_forest_fit(orders, key=LINE_KEY)
-    return anomaly.isolation_forest_score(orders, forest).select(*LINE_KEY, "anomaly_score")
+    score = F.col("anomaly_score")
+    return anomaly.isolation_forest_score(orders, forest).select(
+        *LINE_KEY, score.isNotNull().alias("has_score"), ((score > 0) & (score <= 1)).alias("is_sound")
+    )
 
 
 def _loss_size(spark, sf_dir) -> DataFrame:
