@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, functions as F
 
 from ..operators import clean as cleaning, kpi, quality, star
+from ..session import fit_partitions
 from ..sources import tables
 
 MONTHLY_VIEW = "vw_monthly_risk_by_region"
@@ -42,7 +43,15 @@ def ingest(raw: DataFrame, home: str, min_rows: int = quality.MIN_ROWS) -> Inges
 
     The deduplicated rows are stored once; null shares, the quality report and all
     tables are read from that copy. Failed checks are reported and stop nothing.
+    Shuffle partitions are raised to the size of the raw files, and the stored copy is
+    deleted at the end.
     """
+    fit_partitions(raw)
+    with tables.scratch(raw.sparkSession):
+        return _ingest(raw, home, min_rows)
+
+
+def _ingest(raw: DataFrame, home: str, min_rows: int) -> Ingested:
     tidied = tables.stage(cleaning.tidy_rows(raw, copies=COPIES), "tidy")
     rows_in, rows_kept = tidied.agg(
         F.coalesce(F.sum(COPIES), F.lit(0)), F.count("*")

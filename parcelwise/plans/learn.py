@@ -10,6 +10,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators import anomaly, classify, forecast, score
+from ..session import fit_partitions
 from ..sources import models, runs, tables
 from .ingest import MONTHLY_VIEW
 
@@ -80,9 +81,19 @@ def learn(
     folds: int = classify.FOLDS,
     split_key: list[str] = SPLIT_KEY,
 ) -> Learned:
-    """The three branches share only the published tables and meet in the score."""
-    home = home.rstrip("/")
+    """The three branches share only the published tables and meet in the score.
+
+    All results are stored below ``home``; what is staged on the way is deleted.
+    """
     fact = tables.read_published(spark, "fact_orders")
+    fit_partitions(fact)
+    with tables.scratch(spark):
+        return _learn(spark, fact, home.rstrip("/"), trees, folds, split_key)
+
+
+def _learn(
+    spark: SparkSession, fact: DataFrame, home: str, trees: int, folds: int, split_key: list[str]
+) -> Learned:
     monthly = tables.stage(tables.read_published(spark, MONTHLY_VIEW), "monthly")
     model, report, importance = classify_orders(fact, home, split_key, trees, folds)
 
@@ -97,15 +108,24 @@ def learn(
     for name, df in feeds.items():
         tables.write_feed_parquet(df, f"{home}/{name}")
         feeds[name] = tables.read_feed_parquet(spark, f"{home}/{name}", df.schema)
-    scores = score.build_risk_scores(monthly, feeds["anomalies"])
-    tables.write_feed_parquet(scores, f"{home}/risk_scores")
+    # The feeds the scores are made of are stored by now; these are small tables.
+    results = {
+        "report": report,
+        "importance": importance,
+        "skipped_regions": eligibility.filter(~F.col("is_eligible")),
+        "failed_regions": forecast.forecast_failures(fits),
+        "risk_scores": score.build_risk_scores(monthly, feeds["anomalies"]),
+    }
+    for name, df in results.items():
+        tables.write_feed_parquet(df, f"{home}/{name}")
+        results[name] = tables.read_feed_parquet(spark, f"{home}/{name}", df.schema)
     return Learned(
         model=model,
-        report=report,
-        importance=importance,
+        report=results["report"],
+        importance=results["importance"],
         forecasts=feeds["forecasts"],
-        skipped_regions=eligibility.filter(~F.col("is_eligible")),
-        failed_regions=forecast.forecast_failures(fits),
+        skipped_regions=results["skipped_regions"],
+        failed_regions=results["failed_regions"],
         anomalies=feeds["anomalies"],
-        scores=tables.read_feed_parquet(spark, f"{home}/risk_scores", scores.schema),
+        scores=results["risk_scores"],
     )

@@ -63,6 +63,18 @@ def apply_settings(spark: SparkSession, input_bytes: float | None = None) -> Spa
     return spark
 
 
+def fit_partitions(df: DataFrame) -> None:
+    """Raise the session's shuffle partitions and splits to what the files of ``df`` need."""
+    spark = df.sparkSession
+    size = input_size(df)
+    if size < 200 * 512 * MB:
+        return
+    for key, value in sizing(size).items():
+        now = spark.conf.get(key, "0").rstrip("b")
+        if not now.isdigit() or int(now) < int(value):
+            spark.conf.set(key, value)
+
+
 def input_size(df: DataFrame) -> int:
     """Bytes of the files a frame reads."""
     spark = df.sparkSession

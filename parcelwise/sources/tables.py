@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
+
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import shared_folder
@@ -77,12 +81,32 @@ def read_published(spark: SparkSession, name: str) -> DataFrame:
     return spark.table(name)
 
 
+_staged: ContextVar[list[str] | None] = ContextVar("staged", default=None)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Delete what was staged inside once the block ends: nothing that leaves it may read it."""
+    paths: list[str] = []
+    token = _staged.set(paths)
+    try:
+        yield
+    finally:
+        _staged.reset(token)
+        for name in paths:
+            path = spark._jvm.org.apache.hadoop.fs.Path(name)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Store an intermediate result read more than once, and go on from the stored copy.
 
-    The copy is in the shared folder, so losing an executor does not lose it.
+    The copy is in the shared folder, so losing an executor does not lose it. Inside
+    ``scratch`` it is deleted at the end, else with that folder.
     """
     spark = df.sparkSession
     path = shared_folder(spark, label)
+    if (paths := _staged.get()) is not None:
+        paths.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -1,8 +1,10 @@
+import uuid
+
 import pytest
 
 from parcelwise.operators import clean, star
 from parcelwise.plans import dashboard, ingest, learn
-from parcelwise.sources import benchmark_tables, orders_csv, runs
+from parcelwise.sources import benchmark_tables, orders_csv, runs, tables
 from parcelwise.streaming import daily
 
 
@@ -25,8 +27,11 @@ def test_ingest(spark, ingested):
     assert spark.table("fact_orders").filter("order_id is null").count() == 0
 
 
-def test_learn_and_dashboard(spark, ingested, home):
+def test_learn_and_dashboard(spark, ingested, home, tmp_path, monkeypatch):
+    folder = tmp_path / "shared"
+    monkeypatch.setattr(tables, "shared_folder", lambda spark, label: f"{folder}/{label}-{uuid.uuid4().hex}")
     learned = learn.learn(spark, home, trees=3, folds=2)
+    assert list(folder.iterdir()) == []
     assert learned.scores.count() == spark.table(ingest.MONTHLY_VIEW).count()
     assert learned.forecasts.count() == 75 and learned.failed_regions.count() == 0
     assert learned.skipped_regions.count() == 0

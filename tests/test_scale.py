@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from parcelwise.operators import classify, feeds, kpi
-from parcelwise.session import sizing
+from parcelwise.session import apply_settings, sizing
 from parcelwise.sources import tables
 
 FACT = (
@@ -73,6 +73,16 @@ def test_partition_sizes_follow_the_input():
     assert int(small["spark.sql.files.maxPartitionBytes"]) < int(large["spark.sql.files.maxPartitionBytes"])
 
 
+def test_sizes_for_a_session_built_elsewhere(spark):
+    before = {k: spark.conf.get(k) for k in sizing(1e9)}
+    try:
+        apply_settings(spark, 100e12)
+        assert 100e12 / int(spark.conf.get("spark.sql.shuffle.partitions")) <= 512 * 1024**2 + 1e4
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
 def test_month_filters_prune_partitions(fact):
     text = plan(kpi.monthly_risk_by_region(fact).filter(F.col("year_month") == "2022-05"))
     assert "PartitionFilters: [isnotnull(year_month" in text
