@@ -23,6 +23,7 @@ from __future__ import annotations
 from statistics import NormalDist
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from .common import batches_of, small_batches, stage
@@ -33,7 +34,6 @@ BUCKET = 128
 HITS = 32
 BLOCK = 2048
 FOUND = "id long, links long, root long"
-DECODED = "filter long, id long, n long, vector array<double>"
 
 
 class Caps:
@@ -114,21 +114,33 @@ def link_classes(classes: DataFrame, width: int, least: float) -> DataFrame:
     caps = Caps(width, classes.count())
     shared = spark.sparkContext.broadcast(caps)
 
-    def decode(batches):
+    def names(batches):
         for batch in batches:
             if batch.num_rows:
-                vectors = unit(matrix(batch.column("vector"), width))
-                ids, n = batch.column("id").to_pylist(), batch.column("n").to_pylist()
-                for i, count, v, names in zip(ids, n, vectors.tolist(), shared.value.decode(vectors)):
-                    yield from ((name, i, count, v) for name in names.tolist())
+                lists = shared.value.decode(unit(matrix(batch.column("vector"), width)))
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(lists))], names=["filter"])
 
-    passed = stage(
-        classes.mapInArrow(lambda b: batches_of(decode(b), DECODED, 2000), DECODED), "caps"
-    )
+    def decode(batches):
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            lists = shared.value.decode(unit(matrix(batch.column("vector"), width)))
+            rows = pa.array(np.repeat(np.arange(batch.num_rows), [len(x) for x in lists]))
+            columns = [batch.column(c).take(rows) for c in ("id", "n", "vector")]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.concatenate(lists)), *columns], names=["filter", "id", "n", "vector"]
+            )
+
+    # Vectors keep the type they have, and pass one shuffle; how full the filters are is
+    # counted from their names alone.
+    kind = classes.schema["vector"].dataType.simpleString()
+    passed = classes.mapInArrow(decode, f"filter long, id long, n long, vector {kind}")
     full = (
-        passed.groupBy("filter").count().filter(F.col("count") > BLOCK)
+        classes.mapInArrow(names, "filter long").groupBy("filter").count()
+        .filter(F.col("count") > BLOCK)
         .select("filter", F.ceil(F.col("count") / BLOCK).cast("int").alias("slices"))
     )
+    full = stage(full, "full-filters")
     slices = F.coalesce("slices", F.lit(1))
     rows = (
         passed.join(full, "filter", "left")
@@ -151,7 +163,7 @@ def link_classes(classes: DataFrame, width: int, least: float) -> DataFrame:
                 lists.clear()
             return compare(
                 shared.value, held_key[0], np.array(ids), np.array(cut), np.array(n),
-                np.array(vectors), held_key[1:], least, lists,
+                unit(np.array(vectors)), held_key[1:], least, lists,
             )
 
         for batch in batches:
@@ -179,7 +191,7 @@ def near_duplicates(df: DataFrame, least: float = 0.95) -> DataFrame:
     own with one component_id. An empty table gives no rows.
     """
     spark = small_batches(df.sparkSession)
-    rows = df.select("vec_id", F.transform("embedding", lambda x: x.cast("double")).alias("vector"))
+    rows = df.select("vec_id", F.col("embedding").alias("vector"))
     some = F.exists("vector", lambda x: x != 0)
     good = F.col("vec_id").isNotNull() & usable(F.col("vector")) & F.coalesce(some, F.lit(False))
     used = rows.filter(good)
