@@ -13,8 +13,10 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from .common import share_of
+from .common import share_of, stage
 
+# Sources up to which the table of rates is broadcast; with more, Spark decides by its size.
+BROADCAST = 10_000
 # Standard deviations around a rate between which the distribution is tabulated.
 SPREAD = 12
 
@@ -78,12 +80,15 @@ def mix(
     doc_id draw alike; a null id draws as ''. An empty table gives no rows. Partitions
     and the rows in them follow shuffle_key.
 
-    Only the table of rates meets the documents. It has one row per source, and Spark
-    broadcasts it if its measured size allows, else it splits the hot source.
+    Only the table of rates meets the documents. It has one row per source; a counted
+    table of up to BROADCAST sources is broadcast, so that texts pass one shuffle, and
+    with more of them the join is a plain one, in which Spark splits the hot source.
     """
     found = rates(df, weights, total).filter("rate > 0")
     table = F.pandas_udf(tabulate, "first long, below array<double>")
-    found = found.select(F.col("source").alias("of"), table("rate").alias("table"))
+    found = stage(found.select(F.col("source").alias("of"), table("rate").alias("table")), "rates")
+    if found.count() <= BROADCAST:
+        found = F.broadcast(found)
     draw = share_of(F.lit(seed), F.col("row.doc_id"))
     below = F.size(F.filter("table.below", lambda p: p <= F.col("draw"))).cast("long")
     copies = F.col("table.first") + below
