@@ -29,13 +29,13 @@ from .common import batches_of, drop_staged, small_batches, stage
 from .components import components
 from .shingles import parity_sketch, runs_of, scored_set, set_name, shingle_set, word_hashes
 
-# Shingles counted at once by a task looking for frequent ones, the share of documents
-# from which one is told on, and how many are put last; the same for words, whose levels
-# are looked up in 2^22 places. All this shapes the order only: any order of shingles
+# Words whose shingles a task counts at once, the count there from which a shingle is told
+# on, and how many shingles are put last at most; the count from which a word is told on,
+# the places in which word levels are looked up, and their number. All this shapes the order only: any order of shingles
 # gives the same result.
 COUNTED = 2_000_000
-FREQUENT = 1 / 2000
-LAST = 300_000
+FREQUENT = 2
+LAST = 1_000_000
 WORD_COUNT = 32
 PLACES = 1 << 22
 LEVELS = 16
@@ -74,11 +74,11 @@ def facts(rows: DataFrame, width: int) -> DataFrame:
                 words_held.append(words & np.uint64(PLACES - 1))
                 total += len(words)
             if total > COUNTED:
-                yield from often(1, grams_held, max(3, FREQUENT * len(grams_held)))
+                yield from often(1, grams_held, FREQUENT)
                 yield from often(2, words_held, WORD_COUNT)
                 grams_held, words_held, total = [], [], 0
         if grams_held:
-            yield from often(1, grams_held, max(3, FREQUENT * len(grams_held)))
+            yield from often(1, grams_held, FREQUENT)
             yield from often(2, words_held, WORD_COUNT)
 
     return rows.mapInArrow(lambda b: batches_of(run(b), FACT), FACT)
@@ -88,13 +88,22 @@ class Order:
     """The order of shingles that holds for all sets."""
 
     def __init__(self, found: DataFrame):
-        top = (
-            found.filter("kind = 1").groupBy("name").agg(F.sum("n").alias("n"))
-            .orderBy(F.desc("n"), "name").limit(LAST).collect()
-        )
-        names = np.array([r.name for r in top], np.int64).view(np.uint64)
+        counted = found.filter("kind = 1").groupBy("name").agg(F.sum("n").alias("n"))
+        counted = stage(counted, "frequent-shingles")
+        # From which count on there are at most LAST shingles; at most 10,000 rows decide.
+        sizes = counted.groupBy(F.least("n", F.lit(10_000)).alias("n")).count().collect()
+        least, total = 10_001, 0
+        for r in sorted(sizes, key=lambda r: -r.n):
+            total += r["count"]
+            if total > LAST:
+                break
+            least = r.n
+        top = counted.filter(F.col("n") >= least).toArrow()
+        drop_staged(counted)
+        names = top.column("name").to_numpy().view(np.uint64)
         order = np.argsort(names)
-        self.names, self.ranks = names[order], (len(top) - 1 - np.arange(len(top)))[order]
+        # The count is the rank; equal counts follow by hash.
+        self.names, self.ranks = names[order], top.column("n").to_numpy()[order].astype(np.int32)
         # At most PLACES rows.
         words = found.filter("kind = 2").groupBy("name").agg(F.sum("n").alias("n")).collect()
         self.levels = np.zeros(PLACES, np.uint8)
@@ -114,7 +123,7 @@ class Order:
         out = grams[early[np.argsort(keys, kind="stable")[:length]]]
         if len(out) < length:
             rest = np.flatnonzero(late)
-            rest = rest[np.argsort(self.ranks[at[rest]])]
+            rest = rest[np.argsort(self.ranks[at[rest]], kind="stable")]
             out = np.concatenate([out, grams[rest]])[:length]
         return out
 
