@@ -18,6 +18,7 @@ SETTINGS = {
     # Split a hot join key even when a later step then has to shuffle again.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "10000",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
