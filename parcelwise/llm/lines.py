@@ -162,7 +162,8 @@ def dedup(df: DataFrame, words: int = WORDS) -> DataFrame:
     key = [F.coalesce("doc_id", F.lit(-(2**63))).alias("doc_id"), F.xxhash64("text").alias("tie")]
     spans = repeats(df.select(*key, "text"), words)
     keyed = df.select(F.struct("*").alias("row"), *key)
-    edited = keyed.join(spans, ["doc_id", "tie"], "left").withColumn(
+    # One plan at every size: a broadcast of the spans would end where they outgrow it.
+    edited = keyed.join(spans.hint("merge"), ["doc_id", "tie"], "left").withColumn(
         "edit", edit_udf()("row.text", "firsts", "lasts")
     )
     columns = [F.col("edit.text").alias(c) if c.lower() == "text" else F.col("row").getField(c).alias(c)
