@@ -7,10 +7,11 @@ direction. A vector is decoded to all filters it passes: codes of one half that
 reach the threshold with the best of the other half, and for each of those the sorted
 tail of the other half. Vectors of one filter are compared exactly.
 
-Two vectors of cosine 0.95 share, of about ``HITS`` filters each passes, two thirds or so;
-that they share none has a probability far below one in a million. The threshold is the normal
-quantile at which a filter holds ``BUCKET`` vectors, and B follows from it, so caps get
-smaller and more numerous as the table grows by one rule.
+Two vectors of cosine 0.95 share about two thirds of the ``HITS`` filters each passes on
+average. A vector that lies badly to the code passes few; it goes to its ``LEAST`` best
+filters then, which its neighbours mostly share. The threshold is the normal quantile at
+which a filter holds ``BUCKET`` vectors, and B follows from it, so caps get smaller and
+more numerous as the table grows by one rule.
 
 Equal vectors are one class from the start. A filter with more than ``BLOCK`` classes is
 cut into slices, and each pair of slices is a task's group. Pairs are never written: a
@@ -32,6 +33,7 @@ from .vectors import matrix, usable
 
 BUCKET = 128
 HITS = 32
+LEAST = 24
 BLOCK = 2048
 FOUND = "id long, links long, root long"
 
@@ -54,7 +56,7 @@ class Caps:
         self.least = NormalDist().inv_cdf(1 - share) / np.sqrt(width)
 
     def decode(self, vectors: np.ndarray) -> list[np.ndarray]:
-        """The sorted filters of each unit vector; at least its best one."""
+        """The sorted filters of each unit vector: all it passes, and its LEAST best ones."""
         turned = np.zeros((len(vectors), len(self.rotation)))
         turned[:, : vectors.shape[1]] = vectors
         turned = turned @ self.rotation
@@ -64,11 +66,16 @@ class Caps:
             order = np.argsort(-two)
             falling = -two[order]
             able = np.flatnonzero(one >= self.least + falling[0])
-            if not len(able):
-                able = np.array([one.argmax()])
-            counts = np.maximum(np.searchsorted(falling, one[able] - self.least, "right"), 1)
-            tails = np.concatenate([order[:c] for c in counts])
-            out.append(np.sort(np.repeat(able, counts) * self.codes + tails))
+            counts = np.searchsorted(falling, one[able] - self.least, "right")
+            tails = np.concatenate([order[:0], *[order[:c] for c in counts]])
+            found = np.repeat(able, counts) * self.codes + tails
+            if len(found) < LEAST:
+                # The best sums are among those of the best codes of both halves.
+                heads, tails = np.argsort(-one)[:LEAST], order[:LEAST]
+                sums = (one[heads][:, None] + two[tails][None, :]).ravel()
+                best = np.argsort(-sums, kind="stable")[:LEAST]
+                found = np.union1d(found, heads[best // len(tails)] * self.codes + tails[best % len(tails)])
+            out.append(np.sort(found))
         return out
 
 
