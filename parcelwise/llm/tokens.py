@@ -39,15 +39,18 @@ class Encoder:
     """``encode(text)`` gives the ids as little-endian unsigned 32-bit integers.
 
     ``path`` is a byte-level vocabulary file whose words begin with the space before
-    them, or drop white space and case (``folds``). Null counts as empty.
+    them, or drop white space and case (``folds``). Null counts as empty. The ids are those
+    of the library's plain call, in which the text of an added token such as
+    <|endoftext|> gets that token's id, if ``added``; otherwise it counts as plain words.
+    Added tokens hold no white space, so no cut goes through one.
     """
 
-    def __init__(self, path: str, folds: bool = False):
+    def __init__(self, path: str, folds: bool = False, added: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self._library = Tokenizer.from_file(path)
-        self._library.encode_special_tokens = True
+        self._library.encode_special_tokens = not added
         self._model = self._library.model
         self._fold = self._library.normalizer.normalize_str if folds else None
         self._letters = _byte_letters()
@@ -153,6 +156,7 @@ class Encoder:
 
 @functools.cache
 def shared_encoder(name: str, folds: bool = False) -> Encoder:
-    """One encoder per vocabulary and worker process: tasks that follow each other there
-    neither load the file nor meet the same words again."""
-    return Encoder(vocabulary(name), folds)
+    """One encoder per vocabulary and worker process, with the ids of the library's plain
+    call: tasks that follow each other there neither load the file nor meet the same words
+    again."""
+    return Encoder(vocabulary(name), folds, added=True)
