@@ -45,7 +45,7 @@ LEADERS = (1, 3)
 # Bits of the map by which tasks skip documents whose set no pair needs.
 MAP_BITS = 1 << 24
 
-FACT = "kind int, doc_id long, row_key long, n long, name long, sketch array<long>"
+FACT = "kind int, doc_id long, text_key long, n long, name long, sketch array<long>"
 SET = "set_id long, grams binary"
 
 
@@ -66,7 +66,7 @@ def facts(rows: DataFrame, width: int) -> DataFrame:
     def run(batches):
         grams_held, words_held, total = [], [], 0
         for batch in batches:
-            for doc_id, key, text in texts_of(batch, "doc_id", "row_key"):
+            for doc_id, key, text in texts_of(batch, "doc_id", "text_key"):
                 words = word_hashes(text or "")
                 grams = np.unique(runs_of(words, width)) if len(words) else words
                 yield 0, doc_id, key, len(grams), set_name(grams), parity_sketch(grams).tolist()
@@ -249,6 +249,11 @@ def likely(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
     return joined.filter(apart <= most).select("a", "b")
 
 
+def row_key() -> Column:
+    """A hash of a row's id and text, by which rows are looked up; equal hashes do no harm."""
+    return F.xxhash64("doc_id", "text_key")
+
+
 def sets_of(rows: DataFrame, pairs: DataFrame, sketches: DataFrame, width: int) -> DataFrame:
     """The sets that ``pairs`` name, each built from one document.
 
@@ -258,7 +263,7 @@ def sets_of(rows: DataFrame, pairs: DataFrame, sketches: DataFrame, width: int)
     names = pairs.select(F.col("a").alias("set_id")).union(pairs.select("b")).distinct()
     keys = names.join(sketches.select("set_id", "row_key"), "set_id").select("set_id", "row_key")
     keys = stage(keys, "set-keys")
-    place = F.xxhash64("row_key").bitwiseAND(MAP_BITS - 1)
+    place = F.col("row_key").bitwiseAND(MAP_BITS - 1)
     filled = (
         keys.select(F.shiftright(place, 6).alias("word"), place.bitwiseAND(63).cast("int").alias("bit"))
         .groupBy("word")
@@ -280,7 +285,8 @@ def sets_of(rows: DataFrame, pairs: DataFrame, sketches: DataFrame, width: int)
                     told.add(name)
                     yield name, grams.tobytes()
 
-    built = rows.select("text", place.alias("place")).mapInArrow(
+    keyed = rows.select("text", row_key().alias("row_key"))
+    built = keyed.select("text", place.alias("place")).mapInArrow(
         lambda b: batches_of(build(b), SET, 128), SET
     )
     return stage(built.dropDuplicates(["set_id"]), "sets")
@@ -309,7 +315,7 @@ def linked_sets(rows: DataFrame, found: DataFrame, width: int, percent: int) ->
     entries = stage(postings(rows, width, percent, Order(found)), "postings")
     lists = stage(shared_lists(entries, percent), "prefix-lists")
     drop_staged(entries)
-    one = F.min(F.struct("row_key", "n", "sketch")).alias("one")
+    one = F.min(F.struct(row_key().alias("row_key"), "n", "sketch")).alias("one")
     sketches = found.filter("kind = 0").groupBy(F.col("name").alias("set_id")).agg(one)
     sketches = stage(sketches.select("set_id", "one.*"), "sketches")
     tested = links = roots = None
@@ -342,37 +348,37 @@ def linked_sets(rows: DataFrame, found: DataFrame, width: int, percent: int) ->
 
 
 def near_duplicates(df: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
-    """doc_id, n_shingles, component_id, row_key and kept for each row of ``df`` (doc_id, text).
+    """doc_id, n_shingles, component_id, text_key and kept for each row of ``df`` (doc_id, text).
 
     Two rows link when 100 times the size of their sets' intersection reaches ``percent``
     times that of the union. component_id is the smallest doc_id reachable by links, its
     own included. Null texts and texts without words have an empty set and link with none;
     rows without a doc_id link, but name no component unless none of theirs has an id, when
-    it is null. Repeated rows are linked rows of their own; other columns are not read. An
+    it is null. Repeated rows are linked rows of their own; other columns are not read. kept is
+    true for the rows of the smallest doc_id of a component and, if that id has several texts
+    there, of the text with the smallest hash text_key; rows of an empty set are kept. An
     empty table gives no rows. Sets are told apart by 64-bit hashes of 64-bit shingles.
     """
     small_batches(df.sparkSession)
-    rows = df.select(
-        "doc_id", F.coalesce("doc_id", F.xxhash64("text")).alias("row_key"), "text"
-    )
+    rows = df.select("doc_id", F.xxhash64("text").alias("text_key"), "text")
     found = stage(facts(rows, width), "facts")
     roots = linked_sets(rows, found, width, percent)
-    documents = found.filter("kind = 0").select("doc_id", F.col("n").alias("n_shingles"), "name", "row_key")
+    documents = found.filter("kind = 0").select("doc_id", F.col("n").alias("n_shingles"), "name", "text_key")
     if roots is not None:
         documents = documents.join(roots.withColumnRenamed("node", "name"), "name", "left")
         documents = documents.withColumn("name", F.coalesce("root", "name"))
     full = documents.filter("n_shingles > 0")
-    place = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "row_key")
+    place = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "text_key")
     smallest = full.groupBy("name").agg(F.min(place).alias("first"))
     return (
         full.join(smallest, "name")
         .select(
-            "doc_id", "n_shingles", F.col("first.doc_id").alias("component_id"), "row_key",
-            (F.col("row_key") == F.col("first.row_key")).alias("kept"),
+            "doc_id", "n_shingles", F.col("first.doc_id").alias("component_id"), "text_key",
+            (F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("text_key") == F.col("first.text_key"))).alias("kept"),
         )
         .unionByName(
             documents.filter("n_shingles = 0").select(
-                "doc_id", "n_shingles", F.col("doc_id").alias("component_id"), "row_key",
+                "doc_id", "n_shingles", F.col("doc_id").alias("component_id"), "text_key",
                 F.lit(True).alias("kept"),
             )
         )
@@ -382,10 +388,16 @@ def near_duplicates(df: DataFrame, width: int = 5, percent: int = 80) -> DataFra
 def one_of_each(df: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """Of each group of ``near_duplicates`` one row stays, that of the smallest doc_id.
 
-    Rows without a doc_id stand behind all others and are told apart by their text's
-    hash; of rows that repeat a doc_id, or a text without one, one stays.
+    Rows are told apart by doc_id and text (its 64-bit hash), so different texts of one
+    doc_id are rows of their own, and of rows equal in both one stays. Rows without a
+    doc_id stand behind all others.
     """
+    key = [
+        F.col("doc_id").isNull().alias("nameless"),
+        F.coalesce("doc_id", F.lit(0)).alias("id"),
+    ]
+    names = ["nameless", "id", "text_key"]
     groups = near_duplicates(df, width, percent)
-    kept = groups.filter("kept").select("row_key").distinct()
-    keyed = df.select(F.struct("*").alias("row"), F.coalesce("doc_id", F.xxhash64("text")).alias("row_key"))
-    return keyed.join(kept, "row_key", "left_semi").dropDuplicates(["row_key"]).select("row.*")
+    kept = groups.filter("kept").select(*key, "text_key").distinct()
+    keyed = df.select(F.struct("*").alias("row"), *key, F.xxhash64("text").alias("text_key"))
+    return keyed.join(kept, names, "left_semi").dropDuplicates(names).select("row.*")
