@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from .common import share_of, stage
 
@@ -19,6 +19,10 @@ from .common import share_of, stage
 BROADCAST = 10_000
 # Standard deviations around a rate between which the distribution is tabulated.
 SPREAD = 12
+# Copies of one document that a row stands for at most before the last step.
+BLOCK = 10_000
+# Rates from which a table is computed from its own range only, relative to its mode.
+WIDE = 1_000_000
 
 
 def poisson_table(rate: float) -> tuple[int, list[float]]:
@@ -29,6 +33,11 @@ def poisson_table(rate: float) -> tuple[int, list[float]]:
     """
     reach = SPREAD * np.sqrt(rate) + 40
     first = max(0, int(rate - reach))
+    if rate >= WIDE:
+        counts = np.arange(first, int(rate + reach) + 1)
+        logs = np.cumsum(np.log1p((rate - counts) / counts))
+        below = np.cumsum(np.exp(logs - logs.max()))
+        return first, (below / below[-1]).tolist()
     counts = np.arange(0, int(rate + reach) + 1)
     steps = np.log(rate) - np.log(np.maximum(counts, 1))
     logs = np.cumsum(np.where(counts == 0, -rate, steps))
@@ -83,26 +92,53 @@ def mix(
     Only the table of rates meets the documents. It has one row per source; a counted
     table of up to BROADCAST sources is broadcast, so that texts pass one shuffle, and
     with more of them the join is a plain one, in which Spark splits the hot source.
+    Documents of sources with rates near ``BLOCK`` and above are dealt out in blocks of
+    copies, so no row or task holds all copies of one.
+    copy is an int, or a long where a document may have 2^31 copies or more.
     """
     found = rates(df, weights, total).filter("rate > 0")
     table = F.pandas_udf(tabulate, "first long, below array<double>")
     found = stage(found.select(F.col("source").alias("of"), table("rate").alias("table")), "rates")
-    if found.count() <= BROADCAST:
-        found = F.broadcast(found)
+    most = F.col("table.first") + F.size("table.below")
+    n_sources, highest = found.agg(F.count("*"), F.max(most)).first()
     draw = share_of(F.lit(seed), F.col("row.doc_id"))
     below = F.size(F.filter("table.below", lambda p: p <= F.col("draw"))).cast("long")
     copies = F.col("table.first") + below
     key = share_of(F.lit(seed), F.lit("order"), F.col("row.doc_id"), F.col("copy"))
+
+    def counted(table: DataFrame) -> DataFrame:
+        if n_sources <= BROADCAST:
+            table = F.broadcast(table)
+        return (
+            df.select(F.struct("*").alias("row"))
+            .join(table, F.col("row.source").eqNullSafe(F.col("of")))
+            .withColumn("draw", draw)
+            .select("row", copies.alias("copies"))
+            .filter("copies > 0")
+        )
+
+    def numbered(rows: DataFrame, low: Column, high: Column) -> DataFrame:
+        return rows.select("row", F.explode(F.sequence(low.cast("long"), high.cast("long"))).alias("copy"))
+
+    if (highest or 0) <= BLOCK:
+        each = numbered(counted(found), F.lit(1), F.col("copies"))
+    else:
+        few = numbered(counted(found.filter(most <= BLOCK)), F.lit(1), F.col("copies"))
+        # A given number of partitions: blocks are small, and AQE would merge theirs.
+        parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        blocks = (
+            counted(found.filter(most > BLOCK))
+            .withColumn("low", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"), F.lit(BLOCK).cast("long"))))
+            .repartition(parts, F.col("row.doc_id"), F.col("low"))
+        )
+        each = few.unionByName(numbered(blocks, F.col("low"), F.least("copies", F.col("low") + (BLOCK - 1))))
     mixed = (
-        df.select(F.struct("*").alias("row"))
-        .join(found, F.col("row.source").eqNullSafe(F.col("of")))
-        .withColumn("draw", draw)
-        .select("row", copies.alias("copies"))
-        .filter("copies > 0")
-        .select("row", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("copy"))
+        each
         .withColumn("shuffle_key", key)
         .repartition("shuffle_key")
         .sortWithinPartitions("shuffle_key")
     )
+    if (highest or 0) < 1 << 31:
+        mixed = mixed.withColumn("copy", F.col("copy").cast("int"))
     kept = [c for c in df.columns if c.lower() not in ("copy", "shuffle_key")]
     return mixed.select(*[F.col("row").getField(c).alias(c) for c in kept], "copy", "shuffle_key")
