@@ -117,3 +117,149 @@ roots AS (SELECT node AS doc_id, min(least(node, other)) AS root FROM reach GROU
 SELECT doc_id, len(s)::BIGINT AS n_shingles, coalesce(root, doc_id) AS component_id
 FROM sets LEFT JOIN roots USING (doc_id)
 """
+
+ORACLE["op11_phrase_collocations"] = r"""
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[.,;:!?\x0A-\x0D]')) AS piece
+    FROM documents
+),
+words AS (
+    SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda w: w <> '') AS w FROM pieces
+),
+totals AS (SELECT lang, sum(len(w))::HUGEINT AS n FROM words GROUP BY lang),
+grams AS (
+    SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2),
+        lambda i: array_to_string(w[i:i + k - 1], ' '))) AS phrase
+    FROM words, (SELECT unnest(range(1, 6)) AS k)
+),
+counts AS (
+    SELECT lang, k, phrase, count(*)::HUGEINT AS f FROM grams GROUP BY lang, k, phrase HAVING count(*) >= 100
+),
+cuts AS (
+    SELECT lang, phrase, f AS a, unnest(range(1, k)) AS cut, string_split(phrase, ' ') AS w
+    FROM counts WHERE k > 1
+),
+scored AS (
+    SELECT c.lang, c.phrase, c.a, x.f AS l, y.f AS r, t.n, c.cut, (1000 * c.a * t.n) // (x.f * y.f) AS score
+    FROM cuts c JOIN totals t ON t.lang = c.lang
+    JOIN counts x ON x.lang = c.lang AND x.phrase = array_to_string(c.w[1:cut], ' ')
+    JOIN counts y ON y.lang = c.lang AND y.phrase = array_to_string(c.w[cut + 1:], ' ')
+),
+lowest AS (
+    SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1
+),
+absorbed AS (
+    SELECT DISTINCT c.lang, c.phrase FROM counts c JOIN counts o
+    ON o.lang = c.lang AND c.k > 1 AND o.k > c.k AND 100 * o.f >= 100 * c.f
+       AND contains(' ' || o.phrase || ' ', ' ' || c.phrase || ' ')
+),
+ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank
+    FROM lowest ANTI JOIN absorbed USING (lang, phrase)
+)
+SELECT lang, rank::BIGINT AS rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r,
+       n::BIGINT AS n, score::BIGINT AS score
+FROM ranked WHERE rank <= 2000
+"""
+
+ORACLE["op12_adaptive_quality_rules"] = r"""
+WITH split AS (
+    SELECT doc_id, lang, source, coalesce(text, '') AS text,
+           regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
+    FROM documents
+),
+runs AS (
+    SELECT doc_id, unnest(range(1, len(w) - 6)) AS k, unnest(list_transform(range(1, len(w) - 6),
+        lambda i: array_to_string(w[i:i + 7], ' '))) AS run
+    FROM split WHERE len(w) >= 8
+),
+again AS (SELECT doc_id, k FROM runs QUALIFY count(*) OVER (PARTITION BY doc_id, run) > 1),
+covered AS (
+    SELECT doc_id, count(DISTINCT place) AS n FROM (SELECT doc_id, unnest(range(k, k + 8)) AS place FROM again)
+    GROUP BY doc_id
+),
+lines AS (
+    SELECT doc_id, list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS x
+    FROM split
+),
+measured AS (
+    SELECT s.doc_id, s.lang, s.source, len(w)::BIGINT AS n_words,
+           length(array_to_string(w, ''))::BIGINT AS word_chars,
+           length(regexp_replace(text, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,
+           (len(x) - len(list_distinct(x)))::BIGINT AS n_dup_lines,
+           coalesce(c.n, 0)::BIGINT AS n_repeat_words
+    FROM split s JOIN lines USING (doc_id) LEFT JOIN covered c USING (doc_id)
+),
+based AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM measured),
+ruled AS (
+    SELECT doc_id, lang, source, unnest([
+        {'rule': 'word_length', 'v': 1000 * word_chars // n_words, 'least': 500},
+        {'rule': 'symbols', 'v': 10000 * n_symbols // n_words, 'least': 1000},
+        {'rule': 'repeated_lines', 'v': 10000 * n_dup_lines // n_words, 'least': 500},
+        {'rule': 'repeated_words', 'v': 10000 * n_repeat_words // n_words, 'least': 2000}], recursive := true)
+    FROM based WHERE NOT base_failed
+),
+cut AS (
+    SELECT *, (v >> greatest(length(bin(v)) - 6, 0)) << greatest(length(bin(v)) - 6, 0) AS value FROM ruled
+),
+groups AS (
+    SELECT lang, source, 1 AS level, rule, least, value FROM cut
+    UNION ALL SELECT lang, NULL, 2, rule, least, value FROM cut
+    UNION ALL SELECT NULL, NULL, 3, rule, least, value FROM cut
+),
+quartiles AS (
+    SELECT lang, source, level, rule, count(*) AS size, any_value(least) AS least,
+           list_sort(list(value))[((count(*) + 3) // 4)::INTEGER] AS q1,
+           list_sort(list(value))[((3 * count(*) + 3) // 4)::INTEGER] AS q3
+    FROM groups GROUP BY lang, source, level, rule
+),
+limits AS (
+    SELECT *, q1 - greatest(3 * (q3 - q1), least) AS low, q3 + greatest(3 * (q3 - q1), least) AS high FROM quartiles
+),
+judged AS (
+    SELECT r.doc_id, bool_and(r.v BETWEEN
+        CASE WHEN o.size >= 200 THEN o.low WHEN g.size >= 200 THEN g.low ELSE t.low END AND
+        CASE WHEN o.size >= 200 THEN o.high WHEN g.size >= 200 THEN g.high ELSE t.high END) AS inside
+    FROM ruled r
+    JOIN limits o ON o.level = 1 AND o.rule = r.rule AND o.lang IS NOT DISTINCT FROM r.lang
+        AND o.source IS NOT DISTINCT FROM r.source
+    JOIN limits g ON g.level = 2 AND g.rule = r.rule AND g.lang IS NOT DISTINCT FROM r.lang
+    JOIN limits t ON t.level = 3 AND t.rule = r.rule
+    GROUP BY r.doc_id
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND coalesce(inside, false) AS kept
+FROM based LEFT JOIN judged USING (doc_id)
+"""
+
+ORACLE["op13_geometric_block_search"] = r"""
+WITH lowered AS (
+    SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS x
+    FROM documents
+),
+tokens AS (SELECT doc_id, unnest(regexp_extract_all(x, '[0-9A-Za-z\x{80}-\x{10FFFF}]+')) AS term FROM lowered),
+lengths AS (SELECT doc_id, count(*) AS n FROM tokens GROUP BY doc_id),
+totals AS (SELECT count(*) AS docs, sum(n)::BIGINT AS len FROM lengths),
+postings AS (SELECT doc_id, term, count(*) AS tf FROM tokens GROUP BY doc_id, term),
+weights AS (
+    SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w
+    FROM postings, totals GROUP BY term, docs
+),
+asked AS (
+    SELECT DISTINCT item_id, unnest(regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[0-9A-Za-z\x{80}-\x{10FFFF}]+')) AS term
+    FROM benchmark
+),
+scored AS (
+    SELECT item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * docs) // len))))::BIGINT AS score
+    FROM asked JOIN postings USING (term) JOIN weights USING (term) JOIN lengths USING (doc_id), totals
+    GROUP BY item_id, doc_id
+),
+ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM scored WHERE score > 0
+)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM ranked WHERE rank <= 10
+"""

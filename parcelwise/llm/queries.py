@@ -4,7 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import caps, id_files, jaccard, language, lines, mixing, packing, quality, voronoi, warc
+from . import (
+    caps, id_files, jaccard, language, lines, mixing, packing, phrases, quality, ranked, thresholds,
+    voronoi, warc,
+)
 from .common import held_out, table
 from .tokens import Encoder, shared_encoder
 from .vectors import usable
@@ -93,3 +96,18 @@ def op10_jaccard_relations(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op6_line_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.dedup(table(spark, sf_dir, "documents"))
+
+
+@query
+def op11_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"), longest=5, least=100, first=2000)
+
+
+@query
+def op12_adaptive_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return thresholds.judge(table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_geometric_block_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked.top_k(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), 10)
