@@ -33,12 +33,12 @@ def stage(df: DataFrame, label: str) -> DataFrame:
 
 
 def drop_staged(df: DataFrame) -> None:
-    """Delete a staged copy that no later plan reads."""
+    """Delete a staged copy that no later plan reads: its folder as a whole."""
     spark = df.sparkSession
     jvm = spark._jvm
-    for file in df.inputFiles():
-        path = jvm.org.apache.hadoop.fs.Path(file)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, False)
+    for folder in {file.rsplit("/", 1)[0] for file in df.inputFiles()}:
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def held_out(key: Column) -> Column:
@@ -105,6 +105,20 @@ def batch_of(rows: list[tuple], schema: str):
     return pa.RecordBatch.from_arrays(arrays, names=[name for name, _ in fields])
 
 
+def give_back() -> None:
+    """Return what a task has freed to the system: idle workers keep it otherwise, beside
+    the workers and the heap of the next stage."""
+    import ctypes
+
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except AttributeError:  # another C library than glibc
+        return
+
+
 def batches_of(rows: Iterator[tuple], schema: str, size: int = 10_000) -> Iterator:
     held = []
     for row in rows:
@@ -114,3 +128,4 @@ def batches_of(rows: Iterator[tuple], schema: str, size: int = 10_000) -> Iterat
             held = []
     if held:
         yield batch_of(held, schema)
+    give_back()

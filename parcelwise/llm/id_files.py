@@ -201,7 +201,8 @@ def read_file(path: str) -> Iterator[tuple[int | None, Iterator[np.ndarray]]]:
 def write_id_files(df: DataFrame, encoder, folder: str, end_id: int | None = None) -> DataFrame:
     """Write the ids of ``df`` (doc_id, text) in ascending doc_id order; returns the file list.
 
-    ``encoder()`` builds an object whose ``encode(text)`` gives little-endian 32-bit ids.
+    ``encoder()`` builds an object whose ``encode(text)`` gives little-endian 32-bit ids
+    and which a task tells to ``forget()`` at its end.
     Documents are dealt out by ranges of doc_id, each range sorted and written by one
     task. Null ids come first, rows of one id in the order of their texts' hashes; null
     texts count as empty. An empty table gives an empty list.
@@ -225,6 +226,7 @@ def write_id_files(df: DataFrame, encoder, folder: str, end_id: int | None = Non
                 writer, number = None, number + 1
         if writer:
             yield part, number, *writer.close()
+        made.forget()
 
     order = [F.asc_nulls_first("doc_id"), F.asc("tie")]
     files = (

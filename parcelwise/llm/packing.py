@@ -117,7 +117,8 @@ class Packer:
 def pack(df: DataFrame, encoder, window: int = 1024, end_id: int | None = 0) -> DataFrame:
     """Pieces of the documents of ``df`` (doc_id, text): where each run of ids lies.
 
-    ``encoder()`` builds an object whose ``encode(text)`` gives little-endian 32-bit ids;
+    ``encoder()`` builds an object whose ``encode(text)`` gives little-endian 32-bit ids
+    and which a task tells to ``forget()`` at its end;
     ``end_id`` is appended to each document. Null texts count as empty; a document
     without ids has no piece. Repeated rows are packed once each. Other columns are not
     read. An empty table gives no rows.
@@ -133,6 +134,7 @@ def pack(df: DataFrame, encoder, window: int = 1024, end_id: int | None = 0) ->
         for doc_id, text in rows_of(batches, ["doc_id", "text"]):
             yield from packer.add(doc_id, np.frombuffer(made.encode(text) + end, "<u4"))
         yield from packer.finish()
+        made.forget()
 
     return df.select("doc_id", "text").mapInArrow(
         lambda batches: batches_of(run(batches), PIECES), PIECES
