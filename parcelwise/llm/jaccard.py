@@ -33,12 +33,14 @@ from .shingles import parity_sketch, runs_of, scored_set, set_name, shingle_set,
 # on, and how many shingles are put last at most; the count from which a word is told on,
 # the places in which word levels are looked up, and their number. All this shapes the order only: any order of shingles
 # gives the same result.
-COUNTED = 2_000_000
+COUNTED = 1_000_000
 FREQUENT = 2
 LAST = 1_000_000
 WORD_COUNT = 32
 PLACES = 1 << 22
 LEVELS = 16
+# Sets a task remembers having told, so that copies are told once; told again they do no harm.
+TOLD = 100_000
 # Leaders per list and round; the round after them compares all that is left.
 LEADERS = (1, 3)
 
@@ -90,27 +92,34 @@ class Order:
     def __init__(self, found: DataFrame):
         counted = found.filter("kind = 1").groupBy("name").agg(F.sum("n").alias("n"))
         counted = stage(counted, "frequent-shingles")
-        # From which count on there are at most LAST shingles; at most 10,000 rows decide.
-        sizes = counted.groupBy(F.least("n", F.lit(10_000)).alias("n")).count().collect()
-        least, total = 10_001, 0
-        for r in sorted(sizes, key=lambda r: -r.n):
-            total += r["count"]
-            if total > LAST:
-                break
-            least = r.n
-        top = counted.filter(F.col("n") >= least).toArrow()
+        top = self.most_frequent(counted).toArrow()
         drop_staged(counted)
         names = top.column("name").to_numpy().view(np.uint64)
         order = np.argsort(names)
         # The count is the rank; equal counts follow by hash.
         self.names, self.ranks = names[order], top.column("n").to_numpy()[order].astype(np.int32)
-        # At most PLACES rows.
-        words = found.filter("kind = 2").groupBy("name").agg(F.sum("n").alias("n")).collect()
+        # At most PLACES rows of two numbers, as arrays.
+        words = found.filter("kind = 2").groupBy("name").agg(F.sum("n").alias("n")).toArrow()
         self.levels = np.zeros(PLACES, np.uint8)
-        if words:
-            counts = np.array([r.n for r in words], float)
+        if len(words):
+            counts = words.column("n").to_numpy().astype(float)
             level = LEVELS + np.floor(np.log2(counts / counts.max()))
-            self.levels[[r.name for r in words]] = np.maximum(level, 0)
+            self.levels[words.column("name").to_numpy()] = np.maximum(level, 0)
+
+    @staticmethod
+    def most_frequent(counted: DataFrame) -> DataFrame:
+        """The shingles (name, n) from some count on, about LAST at most. If already those
+        counted 10,000 times are more, a part of them drawn by hash: any order is right."""
+        sizes = counted.groupBy(F.least("n", F.lit(10_000)).alias("n")).count().collect()
+        sizes = sorted(((r.n, r["count"]) for r in sizes), reverse=True)
+        least, total = 10_000, 0
+        for n, size in sizes:
+            if total + size > LAST and total:
+                break
+            least, total = n, total + size
+        parts = -(-total // LAST)
+        top = counted.filter(F.col("n") >= least)
+        return top if parts <= 1 else top.filter(F.pmod(F.xxhash64("name"), F.lit(parts)) == 0)
 
     def first(self, grams: np.ndarray, scores: np.ndarray, length: int) -> np.ndarray:
         """The first ``length`` shingles of a set."""
@@ -143,7 +152,7 @@ def postings(rows: DataFrame, width: int, percent: int, order: Order) -> DataFra
                 name, n = set_name(grams), len(grams)
                 if not n or name in told:
                     continue
-                if len(told) > 1_000_000:
+                if len(told) >= TOLD:
                     told.clear()
                 told.add(name)
                 first = shared.value.first(grams, scores, n - -(-percent * n // 100) + 1)
@@ -282,6 +291,8 @@ def sets_of(rows: DataFrame, pairs: DataFrame, sketches: DataFrame, width: int)
             for k in np.flatnonzero(wanted).tolist():
                 grams = shingle_set(batch.column("text")[k].as_py(), width)
                 if (name := set_name(grams)) not in told:
+                    if len(told) >= TOLD:
+                        told.clear()
                     told.add(name)
                     yield name, grams.tobytes()
 

@@ -298,3 +298,10 @@ def test_pipeline_stages_keep_their_promises(spark, tiny):
     clean = docs.join(labels, "doc_id", "left_semi")
     assert good.columns == columns
     assert good.join(labels, "doc_id", "left_semi").count() >= 0.95 * clean.count()
+
+
+@pytest.mark.parametrize("counts", [[20_000] * 500, [3] * 40 + [20_000] * 5, [2, 2, 3], []])
+def test_the_shingles_put_last_are_bounded(spark, monkeypatch, counts):
+    monkeypatch.setattr(jaccard, "LAST", 10)
+    rows = spark.createDataFrame(list(enumerate(counts)), "name long, n long")
+    assert jaccard.Order.most_frequent(rows).count() <= 30
