@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..functions.numeric import WeightedTotal, exact_avg, money_sum, round_half_away
 
+SALES, PROFIT = WeightedTotal("sales_amount"), WeightedTotal("profit")
+
 
 def monthly_risk_by_region(fact: DataFrame) -> DataFrame:
     """One row per month and region; null months and regions form groups too."""
@@ -20,25 +22,24 @@ def monthly_risk_by_region(fact: DataFrame) -> DataFrame:
     )
 
 
-def department_kpis(fact: DataFrame, dim_product: DataFrame) -> DataFrame:
-    """Department by month over fact joined to product, one row per match.
-
-    Facts are added up per product and month, and products counted per
-    department, before they meet. A product with many orders or many versions
-    then brings few rows to the join, and its orders still count once per version.
-    """
-    sales, profit = WeightedTotal("sales_amount"), WeightedTotal("profit")
-    sold = (
+def product_months(fact: DataFrame) -> DataFrame:
+    """Partial sums of the department KPIs, one row per product and month. States of a month
+    are a function of that month's facts, and adding up states gives those of both."""
+    return (
         fact.filter(F.col("product_id").isNotNull())
         .groupBy("product_id", "year_month")
         .agg(
             F.count("*").alias("_orders"),
             F.count("late_risk_flag").alias("_flags"),
             F.sum("late_risk_flag").alias("_late"),
-            *sales.partial(),
-            *profit.partial(),
+            *SALES.partial(),
+            *PROFIT.partial(),
         )
     )
+
+
+def departments_of(states: DataFrame, dim_product: DataFrame) -> DataFrame:
+    """Department KPIs from the states of ``product_months``."""
     versions = dim_product.groupBy("product_id", "department_name").agg(
         F.count("*").alias("versions")
     )
@@ -46,17 +47,27 @@ def department_kpis(fact: DataFrame, dim_product: DataFrame) -> DataFrame:
         F.col("_flags") * F.col("versions")
     )
     return (
-        sold.join(versions, "product_id")
+        states.join(versions, "product_id")
         .groupBy("department_name", "year_month")
         .agg(
             F.sum(F.col("_orders") * F.col("versions")).alias("total_orders"),
             round_half_away(late_share * 100, 2).alias("late_risk_pct"),
-            sales.combine("versions").alias("total_sales"),
-            profit.combine("versions").alias("total_profit"),
+            SALES.combine("versions").alias("total_sales"),
+            PROFIT.combine("versions").alias("total_profit"),
         )
     )
 
 
+def department_kpis(fact: DataFrame, dim_product: DataFrame) -> DataFrame:
+    """Department by month over fact joined to product, one row per match.
+
+    Facts are added up per product and month, and products counted per
+    department, before they meet. A product with many orders or many versions
+    then brings few rows to the join, and its orders still count once per version.
+    """
+    return departments_of(product_months(fact), dim_product)
+
+
 def top_risk_region_months(monthly: DataFrame, n: int = 5) -> DataFrame:
     """The region-months with the highest late share; ties by month, then region."""
     return (

@@ -8,10 +8,12 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..operators import clean as cleaning, kpi, quality, star
 from ..session import fit_partitions
-from ..sources import tables
+from ..sources import tables, versions
 
 MONTHLY_VIEW = "vw_monthly_risk_by_region"
 DEPARTMENT_VIEW = "vw_department_kpis"
+MONTHLY_STATES, PRODUCT_STATES = "kpi_monthly_risk", "kpi_product_months"
+FACT, MONTH = "fact_orders", "year_month"
 COPIES = "_copies"
 
 
@@ -24,18 +26,51 @@ class Ingested:
     dropped_columns: list[str]
 
 
+def kpi_states(fact: DataFrame) -> dict[str, DataFrame]:
+    """What the KPI views are made of, by month: rows of one month need its facts only."""
+    return {MONTHLY_STATES: kpi.monthly_risk_by_region(fact), PRODUCT_STATES: kpi.product_months(fact)}
+
+
 def publish_star(clean: DataFrame, folder: str) -> None:
-    """Write the five tables to the catalog; the fact table in one partition per month."""
+    """Write the five tables and the KPIs' states to the catalog, each in one step; facts and
+    states in one part per month."""
+    spark = clean.sparkSession
     for name, df in star.star_tables(clean).items():
-        tables.publish_table(df, name, folder, ["year_month"] if name == "fact_orders" else None)
+        tables.publish_table(df, name, folder, [MONTH] if name == FACT else None)
+    for name, df in kpi_states(versions.current(spark, FACT, folder)).items():
+        tables.publish_table(df, name, folder, [MONTH])
+
+
+def refresh_star(clean: DataFrame, months: list[str | None], folder: str) -> None:
+    """Bring whole months into the published tables: ``clean`` has all rows of ``months``.
+
+    Facts and KPI states of these months are replaced, the files of other months stay as
+    they are. Dimensions get the combinations they lack and are left alone if there are
+    none. The tables equal those published from all rows at once. Each table changes in one
+    step, and running the same months again changes nothing.
+    """
+    spark = clean.sparkSession
+    found = star.star_tables(clean)
+    fact = found.pop(FACT)
+    for name, df in found.items():
+        known = versions.current(spark, name, folder)
+        new = df if known is None else df.subtract(known)
+        if known is None or not new.isEmpty():
+            versions.publish(new if known is None else known.unionByName(new), name, folder)
+    versions.replace_parts(fact, FACT, folder, MONTH, months)
+    wanted = F.col(MONTH).isin([m for m in months if m is not None])
+    if None in months:
+        wanted = wanted | F.col(MONTH).isNull()
+    for name, df in kpi_states(versions.current(spark, FACT, folder).filter(wanted)).items():
+        versions.replace_parts(df, name, folder, MONTH, months)
 
 
 def publish_kpis(spark) -> None:
-    """Define the two KPI views over the published tables."""
-    fact = tables.read_published(spark, "fact_orders")
+    """Define the two KPI views over the published states; again after each refresh."""
+    states = tables.read_published(spark, PRODUCT_STATES)
     products = tables.read_published(spark, "dim_product")
-    tables.publish_view(kpi.monthly_risk_by_region(fact), MONTHLY_VIEW)
-    tables.publish_view(kpi.department_kpis(fact, products), DEPARTMENT_VIEW)
+    tables.publish_view(tables.read_published(spark, MONTHLY_STATES), MONTHLY_VIEW)
+    tables.publish_view(kpi.departments_of(states, products), DEPARTMENT_VIEW)
 
 
 def ingest(raw: DataFrame, home: str, min_rows: int = quality.MIN_ROWS) -> Ingested:

@@ -9,6 +9,7 @@ from contextvars import ContextVar
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import shared_folder
+from . import versions
 
 
 def _balanced(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -58,19 +59,14 @@ def publish_table(
     folder: str | None = None,
     partition_by: list[str] | None = None,
 ) -> None:
-    """Create or replace a catalog table, kept under ``folder`` when one is given."""
+    """Create or replace a catalog table in one step, kept under ``folder`` (the warehouse
+    unless given): readers see the old version until the new one is whole, and a write that
+    fails leaves the old one. ``partition_by`` names one column at most."""
     keys = partition_by or []
-    writer = (
-        _balanced(df, keys)
-        .write.format("parquet")
-        .mode("overwrite")
-        .option("partitionOverwriteMode", "static")
-    )
-    if keys:
-        writer = writer.partitionBy(*keys)
-    if folder:
-        writer = writer.option("path", f"{folder.rstrip('/')}/{name.split('.')[-1]}")
-    writer.saveAsTable(name)
+    if len(keys) > 1:
+        raise ValueError("published tables are partitioned by one column")
+    folder = folder or df.sparkSession.conf.get("spark.sql.warehouse.dir")
+    versions.publish(df, name, folder, keys[0] if keys else None)
 
 
 def publish_view(df: DataFrame, name: str) -> None:

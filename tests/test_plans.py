@@ -1,8 +1,8 @@
 import uuid
 
 import pytest
+from pyspark.sql import functions as F
 
-from parcelwise.operators import clean, star
 from parcelwise.plans import dashboard, ingest, learn
 from parcelwise.sources import benchmark_tables, orders_csv, runs, tables
 from parcelwise.streaming import daily
@@ -46,18 +46,62 @@ def test_learn_and_dashboard(spark, ingested, home, tmp_path, monkeypatch):
     assert found <= {("NATION_2", "Low")}
 
 
-def test_daily_stream_equals_one_run(spark, tiny, tmp_path):
-    raw = benchmark_tables.raw_orders(spark, tiny).drop(*benchmark_tables.LINE_KEY)
-    landing, home = tmp_path / "landing", str(tmp_path / "home")
+STAR = ["fact_orders", "dim_region", "dim_product", "dim_customer", "dim_date", ingest.MONTHLY_VIEW, ingest.DEPARTMENT_VIEW]
+
+
+def contents(spark):
+    return {name: sorted(map(str, spark.table(name).select(sorted(spark.table(name).columns)).collect())) for name in STAR}
+
+
+def files(folder):
+    return {str(p): p.stat().st_mtime_ns for p in folder.rglob("*.parquet")}
 
-    def land(rows, day):
-        orders_csv.write_orders_csv(rows, str(landing / f"day={day}"))
 
+@pytest.mark.parametrize("seeded", [False, True])
+def test_daily_runs_equal_one_ingest(spark, tiny, tmp_path, seeded):
+    raw = benchmark_tables.raw_orders(spark, tiny).drop(*benchmark_tables.LINE_KEY)
+    ingest.ingest(raw, str(tmp_path / "whole"))
+    expected = contents(spark)
+    landing, home = tmp_path / "landing", str(tmp_path / "home")
+    first = raw.filter("`Order Item Quantity` <= 25")
+    if seeded:
+        ingest.ingest(first, home)
+        with pytest.raises(ValueError, match="seed"):
+            daily.run_daily(spark, str(landing / "day=*"), home, raw.columns)
+        daily.seed(first, home)
     # The second day repeats part of the first one's rows.
-    for day, rows in enumerate(("`Order Item Quantity` <= 25", "`Order Item Quantity` > 20")):
-        land(raw.filter(rows).coalesce(2), day)
+    for day, rows in enumerate([first, raw.filter("`Order Item Quantity` > 20")][seeded:]):
+        orders_csv.write_orders_csv(rows.coalesce(2), str(landing / f"day={day}"))
         daily.run_daily(spark, str(landing / "day=*"), home, raw.columns, 1).awaitTermination()
-    expected = star.fact_orders(clean.tidy_rows(raw))
-    found = spark.read.schema(expected.schema).parquet(f"{home}/fact_orders").select(expected.columns)
-    assert found.count() == expected.count()
-    assert found.exceptAll(expected).count() == 0
+    assert contents(spark) == expected
+    # One more month: the files of the others stay, and a day without news changes nothing.
+    before = files(tmp_path / "home" / "star" / "fact_orders")
+    extra = raw.limit(1).withColumn("order date (DateOrders)", F.lit("2031-05-01"))
+    orders_csv.write_orders_csv(extra, str(landing / "day=7"))
+    daily.run_daily(spark, str(landing / "day=*"), home, raw.columns).awaitTermination()
+    after = files(tmp_path / "home" / "star" / "fact_orders")
+    assert {p: after.get(p) for p in before} == before and len(after) == len(before) + 1
+    months = spark.table(ingest.MONTHLY_VIEW).filter("year_month = '2031-05'")
+    assert months.count() == 1 == spark.table("fact_orders").filter("year_month = '2031-05'").count()
+    assert spark.table("dim_date").filter("year_month = '2031-05'").count() == 1
+    now = contents(spark)
+    daily.run_daily(spark, str(landing / "day=*"), home, raw.columns).awaitTermination()
+    assert contents(spark) == now
+
+
+def test_the_daily_job_reaches_the_scores(spark, tiny, tmp_path):
+    raw = benchmark_tables.raw_orders(spark, tiny).drop(*benchmark_tables.LINE_KEY)
+    landing, home = tmp_path / "landing", str(tmp_path / "home")
+    orders_csv.write_orders_csv(raw.filter("`Order Item Quantity` <= 40"), str(landing / "day=0"))
+    daily.run_day(spark, str(landing / "day=*"), home, raw.columns, trees=2, folds=0)
+    orders_csv.write_orders_csv(raw.filter("`Order Item Quantity` > 40"), str(landing / "day=1"))
+    late = raw.limit(40).withColumn("order date (DateOrders)", F.lit("2031-05-01"))
+    orders_csv.write_orders_csv(late, str(landing / "day=2"))
+    learned = daily.run_day(spark, str(landing / "day=*"), home, raw.columns, trees=2, folds=0)
+    assert learned.scores.filter("year_month = '2031-05'").count() > 0
+    found = sorted(map(str, spark.table("risk_scores").collect()))
+    # The same rows in one step.
+    other = str(tmp_path / "other")
+    ingest.ingest(raw.unionByName(late), other)
+    whole = learn.learn(spark, other, trees=2, folds=0)
+    assert found == sorted(map(str, whole.scores.select(spark.table("risk_scores").columns).collect()))

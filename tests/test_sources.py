@@ -70,7 +70,7 @@ def test_tables_views_and_questions(spark, tmp_path):
         answer = adhoc.adhoc_sql(spark, text)
         assert answer.result is None and answer.error.startswith("Query error: ")
     assert spark.catalog.tableExists("probe_table")
-    spark.sql("DROP TABLE probe_table")
+    spark.sql("DROP VIEW probe_table")
 
 
 def test_run_log_keeps_history_and_gives_the_latest(spark, tmp_path):
