@@ -8,6 +8,12 @@ from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 
 
+class Rows(list):
+    """Rows of a result, and whether it has more."""
+
+    is_cut = False
+
+
 @dataclass(frozen=True)
 class Answer:
     """Either a result or the reason why there is none."""
@@ -15,14 +21,18 @@ class Answer:
     result: DataFrame | None
     error: str | None = None
 
-    def rows(self, most: int = 1000) -> tuple[list, str | None]:
-        """Run the query: its first rows, and the error if it fails while it runs."""
+    def rows(self, most: int = 1000) -> tuple[Rows, str | None]:
+        """Run the query: its first rows, and the error if it fails while it runs. ``is_cut``
+        of the rows tells whether there are more; ``result`` has all of them as a frame."""
         if self.result is None:
-            return [], self.error
+            return Rows(), self.error
         try:
-            return self.result.limit(most).collect(), None
+            found = self.result.limit(most + 1).collect()
         except PySparkException as problem:
-            return [], f"Query error: {problem}"
+            return Rows(), f"Query error: {problem}"
+        rows = Rows(found[:most])
+        rows.is_cut = len(found) > most
+        return rows, None
 
 
 def adhoc_sql(spark: SparkSession, query: str) -> Answer:

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, functions as F
 
 from ..operators import clean as cleaning, kpi, quality, star
 from ..session import fit_partitions
 from ..sources import tables, versions
+from ..sources.orders_csv import Orders
 
 MONTHLY_VIEW = "vw_monthly_risk_by_region"
 DEPARTMENT_VIEW = "vw_department_kpis"
@@ -24,6 +25,7 @@ class Ingested:
     rows_in: int
     duplicates: int
     dropped_columns: list[str]
+    rejected_rows: int = 0
 
 
 def kpi_states(fact: DataFrame) -> dict[str, DataFrame]:
@@ -73,17 +75,26 @@ def publish_kpis(spark) -> None:
     tables.publish_view(kpi.departments_of(states, products), DEPARTMENT_VIEW)
 
 
-def ingest(raw: DataFrame, home: str, min_rows: int = quality.MIN_ROWS) -> Ingested:
-    """Run the whole step below the shared folder ``home``.
+def ingest(
+    raw: DataFrame | Orders, home: str, min_rows: int = quality.MIN_ROWS
+) -> Ingested:
+    """Run the whole step below the shared folder ``home``. With ``read_orders`` as input, the
+    rows it rejects are kept in ``home/rejected`` and counted.
 
     The deduplicated rows are stored once; null shares, the quality report and all
     tables are read from that copy. Failed checks are reported and stop nothing.
     Shuffle partitions are raised to the size of the raw files, and the stored copy is
     deleted at the end.
     """
-    fit_partitions(raw)
-    with tables.scratch(raw.sparkSession):
-        return _ingest(raw, home, min_rows)
+    rows, rejected = (raw.rows, raw.rejected) if isinstance(raw, Orders) else (raw, None)
+    fit_partitions(rows)
+    refused = 0
+    if rejected is not None:
+        path = f"{home.rstrip('/')}/rejected"
+        tables.write_parquet(rejected, path)
+        refused = rows.sparkSession.read.schema(rejected.schema).parquet(path).count()
+    with tables.scratch(rows.sparkSession):
+        return replace(_ingest(rows, home, min_rows), rejected_rows=refused)
 
 
 def _ingest(raw: DataFrame, home: str, min_rows: int) -> Ingested:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 # The texts a data-frame CSV reader takes for a missing value.
@@ -23,6 +25,67 @@ def blank_to_null(df: DataFrame) -> DataFrame:
     )
 
 
+# Holds the text of a row that does not fit the layout.
+CORRUPT = "_corrupt_row"
+
+
+@dataclass(frozen=True)
+class Orders:
+    """The rows of order files, and the rows that are none."""
+
+    rows: DataFrame
+    rejected: DataFrame  # file, reason, row
+
+
+def _reader(spark: SparkSession, multiline: bool):
+    return (
+        spark.read.option("header", True)
+        .option("encoding", "ISO-8859-1")
+        .option("escape", '"')
+        .option("multiLine", multiline)
+        .option("inferSchema", False)
+    )
+
+
+def read_orders(
+    spark: SparkSession, path: str, columns: list[str] | None = None, multiline: bool = False
+) -> Orders:
+    """Order files as ``read_orders_csv`` reads them, without the rows that do not fit.
+
+    A row with too many fields, with too few, or with a quote that its line does not close is
+    rejected: with its file, the reason and its text. Rows and rejected rows together are all
+    lines of data, empty ones left out. Every column is parsed wherever the rows are used, as
+    a row can be judged by all of its fields only.
+    """
+    columns = columns or _reader(spark, multiline).csv(path).columns
+    names = [*columns, CORRUPT]
+    layout = T.StructType([T.StructField(c, T.StringType()) for c in names])
+    read = (
+        _reader(spark, multiline)
+        .schema(layout)
+        .option("enforceSchema", False)
+        .option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", CORRUPT)
+        .option("columnPruning", False)
+        .csv(path)
+    )
+    row = F.col(CORRUPT)
+    quotes = F.length(row) - F.length(F.replace(row, F.lit('"')))
+    # Commas inside closed quotes part no fields.
+    bare = F.regexp_replace(row, '"[^"]*"', "")
+    fields = F.length(bare) - F.length(F.replace(bare, F.lit(","))) + 1
+    reason = (
+        F.when(quotes % 2 == 1, "open quote")
+        .when(fields < len(columns), "too few fields")
+        .when(fields > len(columns), "too many fields")
+        .otherwise("unreadable")
+    )
+    rejected = read.filter(row.isNotNull()).select(
+        F.col("_metadata.file_path").alias("file"), reason.alias("reason"), row.alias("row")
+    )
+    return Orders(blank_to_null(read.filter(row.isNull()).drop(CORRUPT)), rejected)
+
+
 def read_orders_csv(
     spark: SparkSession,
     path: str,
@@ -35,18 +98,12 @@ def read_orders_csv(
     of every file is checked against ``columns``, or against the first file's header
     where they are not given; a file with other or reordered columns is an error when it
     is read. ``multiline`` accepts line breaks inside quotes, at the price that a file is
-    no longer split over tasks.
+    no longer split over tasks. Fields beyond the columns are dropped and missing ones are
+    null; ``read_orders`` tells such rows apart.
     """
-    reader = (
-        spark.read.option("header", True)
-        .option("encoding", "ISO-8859-1")
-        .option("escape", '"')
-        .option("multiLine", multiline)
-        .option("inferSchema", False)
-    )
-    columns = columns or reader.csv(path).columns
+    columns = columns or _reader(spark, multiline).csv(path).columns
     layout = T.StructType([T.StructField(c, T.StringType()) for c in columns])
-    return blank_to_null(reader.schema(layout).option("enforceSchema", False).csv(path))
+    return blank_to_null(_reader(spark, multiline).schema(layout).option("enforceSchema", False).csv(path))
 
 
 def write_orders_csv(df: DataFrame, path: str) -> None:

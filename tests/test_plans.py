@@ -3,6 +3,7 @@ import uuid
 import pytest
 from pyspark.sql import functions as F
 
+from parcelwise.functions.moments import month_label, parse_moment
 from parcelwise.plans import dashboard, ingest, learn
 from parcelwise.sources import benchmark_tables, orders_csv, runs, tables
 from parcelwise.streaming import daily
@@ -27,6 +28,16 @@ def test_ingest(spark, ingested):
     assert spark.table("fact_orders").filter("order_id is null").count() == 0
 
 
+def test_rejected_rows_are_kept_and_counted(spark, tiny, tmp_path):
+    raw = some_months(spark, tiny).limit(200)
+    orders_csv.write_orders_csv(raw.coalesce(1), str(tmp_path / "in"))
+    (tmp_path / "in" / "more.csv").write_text(",".join(raw.columns) + "\n1,2\n")
+    home = str(tmp_path / "home")
+    done = ingest.ingest(orders_csv.read_orders(spark, str(tmp_path / "in" / "*.csv"), raw.columns), home)
+    assert (done.rows_in, done.rejected_rows) == (200, 1)
+    assert [r["reason"] for r in spark.read.parquet(f"{home}/rejected").collect()] == ["too few fields"]
+
+
 def test_learn_and_dashboard(spark, ingested, home, tmp_path, monkeypatch):
     folder = tmp_path / "shared"
     monkeypatch.setattr(tables, "shared_folder", lambda spark, label: f"{folder}/{label}-{uuid.uuid4().hex}")
@@ -49,6 +60,13 @@ def test_learn_and_dashboard(spark, ingested, home, tmp_path, monkeypatch):
 STAR = ["fact_orders", "dim_region", "dim_product", "dim_customer", "dim_date", ingest.MONTHLY_VIEW, ingest.DEPARTMENT_VIEW]
 
 
+def some_months(spark, tiny):
+    """Orders of a few months, as files have them, those without a date included."""
+    raw = benchmark_tables.raw_orders(spark, tiny).drop(*benchmark_tables.LINE_KEY)
+    month = month_label(parse_moment(F.col("order date (DateOrders)")))
+    return raw.filter(F.coalesce(month, F.lit("1995-01")).between("1995-01", "1996-02"))
+
+
 def contents(spark):
     return {name: sorted(map(str, spark.table(name).select(sorted(spark.table(name).columns)).collect())) for name in STAR}
 
@@ -59,7 +77,7 @@ def files(folder):
 
 @pytest.mark.parametrize("seeded", [False, True])
 def test_daily_runs_equal_one_ingest(spark, tiny, tmp_path, seeded):
-    raw = benchmark_tables.raw_orders(spark, tiny).drop(*benchmark_tables.LINE_KEY)
+    raw = some_months(spark, tiny)
     ingest.ingest(raw, str(tmp_path / "whole"))
     expected = contents(spark)
     landing, home = tmp_path / "landing", str(tmp_path / "home")
@@ -90,7 +108,7 @@ def test_daily_runs_equal_one_ingest(spark, tiny, tmp_path, seeded):
 
 
 def test_the_daily_job_reaches_the_scores(spark, tiny, tmp_path):
-    raw = benchmark_tables.raw_orders(spark, tiny).drop(*benchmark_tables.LINE_KEY)
+    raw = some_months(spark, tiny)
     landing, home = tmp_path / "landing", str(tmp_path / "home")
     orders_csv.write_orders_csv(raw.filter("`Order Item Quantity` <= 40"), str(landing / "day=0"))
     daily.run_day(spark, str(landing / "day=*"), home, raw.columns, trees=2, folds=0)

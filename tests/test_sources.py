@@ -116,3 +116,28 @@ def test_errors_of_a_running_query_are_told(spark):
     rows, error = answer.rows()
     assert rows == [] and "DIVIDE_BY_ZERO" in error
     assert adhoc_sql(spark, "SELECT 2 AS x").rows() == ([(2,)], None)
+    many = adhoc_sql(spark, "SELECT id FROM range(30)")
+    rows, error = many.rows(10)
+    assert len(rows) == 10 and rows.is_cut and error is None
+    assert not many.rows(30)[0].is_cut and many.result.count() == 30
+
+
+def test_rows_that_do_not_fit_are_told(spark, tmp_path):
+    lines = {
+        "a.csv": ["1,10,A", "2,20", "3,30,C,x", '4,"40,C', '5,"5,0","say ""hi"""', "6,,", "7,70,,", "8"],
+        "b.csv": ["9,90,Z", '"10",1,"q"z', "", "NA,NA,NA"],
+    }
+    for name, data in lines.items():
+        write_text(tmp_path / name, "\n".join(["Order Id,Sales,Note ", *data]) + "\n")
+    found = orders_csv.read_orders(spark, str(tmp_path / "*.csv"))
+    bad = sorted((r["file"].rsplit("/", 1)[1], r["row"], r["reason"]) for r in found.rejected.collect())
+    assert bad == [
+        ("a.csv", "2,20", "too few fields"), ("a.csv", "3,30,C,x", "too many fields"),
+        ("a.csv", '4,"40,C', "open quote"), ("a.csv", "7,70,,", "too many fields"), ("a.csv", "8", "too few fields"),
+    ]
+    good = found.rows.collect()
+    assert len(good) + len(bad) == sum(bool(x) for data in lines.values() for x in data)
+    assert sorted(str(r["Order Id"]) for r in good) == ["1", "10", "5", "6", "9", "None"]
+    # The same whichever columns are asked for.
+    assert found.rows.select("Sales").count() == found.rows.count() == len(good)
+    assert found.rejected.count() == len(bad) == found.rejected.select("file").count()
