@@ -19,12 +19,12 @@ PAGE = "page_id long, url string, html string, digest string, block string"
 @pytest.fixture(scope="module")
 def con(tiny):
     con = compare.connect(tiny)
-    for name in ("documents", "pages", "embeddings", "labels"):
+    for name in ("documents", "pages", "embeddings", "labels", "benchmark"):
         con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{tiny}/{name}.parquet'")
     return con
 
 
-@pytest.mark.parametrize("name", ["op1_warc_reassembly", "op7_poisson_mixing", "op8_voronoi_top_k", "op9_spherical_caps", "op10_jaccard_relations"])
+@pytest.mark.parametrize("name", ["op1_warc_reassembly", "op7_poisson_mixing", "op8_voronoi_top_k", "op9_spherical_caps", "op10_jaccard_relations", "op11_phrase_collocations", "op12_adaptive_quality_rules", "op13_geometric_block_search"])
 def test_query_equals_its_sql(spark, con, tiny, name):
     assert compare.differences(queries.QUERIES[name](spark, tiny), con, ORACLE[name]) == []
 
