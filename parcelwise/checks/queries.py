@@ -140,8 +140,8 @@ def model_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def trained(spark: SparkSession, sf_dir: str, **settings):
-    rows = classify.stratified_split(model_rows(spark, sf_dir), LINE_KEY)
-    model = classify.train_late_risk_forest(rows.filter(~F.col("is_test")), **settings)
+    rows = tables.stage(classify.stratified_split(model_rows(spark, sf_dir), LINE_KEY), "split-rows")
+    model = classify.train_late_risk_forest(rows.filter(~F.col("is_test")), key=LINE_KEY, **settings)
     return model, rows
 
 

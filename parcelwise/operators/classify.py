@@ -7,18 +7,13 @@ predict before shipment.
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
-from functools import reduce
-
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import RandomForestClassifier
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.keys import draw, key_text, unit_draw
 from ..functions.numeric import ratio_or_zero
 from ..sources.tables import stage
+from . import forest
+from .forest import Forest
 
 LABEL = "late_risk_flag"
 
@@ -40,8 +35,6 @@ TEST_PERCENT = 20
 FOLDS = 5
 # Values of the draw that orders the rows of a label.
 DRAWS = 4096
-# Memory for the node statistics of a level; a level that fits is one pass over the rows.
-LEVEL_MB = 2048
 
 
 def region_codes(df: DataFrame) -> DataFrame:
@@ -109,74 +102,66 @@ def train_late_risk_forest(
     min_rows: int = MIN_ROWS_PER_LEAF,
     seed: int = SEED,
     max_rows: int | None = None,
-) -> PipelineModel:
+    key: list[str] | None = None,
+) -> Forest:
     """Random forest; the region code is used as a number, not as a category.
 
-    Each level of all trees passes over the rows. ``max_rows`` bounds the rows fitted on
-    by a draw from their content; the default fits on all of them. Spark draws each tree's
-    rows partition by partition, so equal rows in another partitioning give another forest
-    of the same kind.
+    Each level of all trees is one scan of the binned rows. ``key`` are columns that tell
+    rows apart; a tree draws rows by their hash, so the forest does not depend on the
+    partitioning. Without a key all columns are it, and equal rows are drawn together.
+    ``max_rows`` bounds the rows fitted on by a draw from their content; the default fits
+    on all of them. ``train`` is read three times; pass a stored table.
     """
     if max_rows is not None and (total := train.count()) > max_rows:
         train = train.filter(unit_draw(F.lit(seed), *train.columns) < max_rows / total)
-    forest = RandomForestClassifier(
-        featuresCol="features",
-        labelCol=LABEL,
-        numTrees=trees,
-        maxDepth=depth,
-        minInstancesPerNode=min_rows,
-        featureSubsetStrategy="sqrt",
-        seed=seed,
-        maxMemoryInMB=LEVEL_MB,
-    )
-    stages = [VectorAssembler(inputCols=features, outputCol="features"), forest]
-    return Pipeline(stages=stages).fit(train)
+    return forest.grow(train, features, LABEL, key or train.columns, trees, depth, min_rows, seed)[0]
 
 
-def score_late_risk(model: PipelineModel, df: DataFrame) -> DataFrame:
-    return (
-        model.transform(df)
-        .withColumn("late_probability", vector_to_array("probability")[1])
-        .withColumn("predicted_late", F.col("prediction").cast("int"))
-        .drop("features", "rawPrediction", "probability", "prediction")
-    )
+def _with_prediction(df: DataFrame, late: Column) -> DataFrame:
+    guess = (F.col("late_probability") > 0.5).cast("int")
+    return df.withColumn("late_probability", late).withColumn("predicted_late", guess)
 
 
-def auc_roc(df: DataFrame, score: str, label: str = LABEL) -> DataFrame:
-    """Exact area under the ROC curve; tied scores count half.
+def score_late_risk(model: Forest, df: DataFrame) -> DataFrame:
+    """Add ``late_probability`` and ``predicted_late``, null where a feature is null."""
+    return _with_prediction(df, forest.probability(df, [model]))
+
+
+def auc_roc(df: DataFrame, score: str, label: str = LABEL, by: tuple[str, ...] = ()) -> DataFrame:
+    """Exact area under the ROC curve; tied scores count half. One row, or one per value of ``by``.
 
     Rows are first added up per score. The scores are then range-partitioned, so
     each range orders its own scores, and only the totals of the ranges, one row per
     shuffle partition, are added up in sequence: no task sees all scores.
     """
     whole = "decimal(38,0)"
-    per_score = df.groupBy(F.col(score).alias("score")).agg(
+    per_score = df.groupBy(*by, F.col(score).alias("score")).agg(
         F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) == 0).alias("neg")
     )
-    ranged = per_score.repartitionByRange(F.desc("score")).withColumn(
+    ranged = per_score.repartitionByRange(*by, F.desc("score")).withColumn(
         "range", F.spark_partition_id()
     )
-    above = Window.partitionBy("range").orderBy(F.desc("score"))
+    above = Window.partitionBy(*by, "range").orderBy(F.desc("score"))
     before = above.rowsBetween(Window.unboundedPreceding, -1)
     pos_before = F.coalesce(F.sum("pos").over(before), F.lit(0)).cast("decimal(20,0)")
     # Twice the pairs won inside the range: positives above count 2, ties count 1.
     won = F.col("neg").cast("decimal(18,0)") * (pos_before * 2 + F.col("pos"))
     per_range = (
         ranged.withColumn("won", won.cast(whole))
-        .groupBy("range")
+        .groupBy(*by, "range")
         .agg(F.sum("won").alias("won"), F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
     )
-    earlier = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = Window.partitionBy(*by).orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
     pos_above = F.coalesce(F.sum("pos").over(earlier), F.lit(0)).cast("decimal(18,0)")
     across = (F.col("neg").cast("decimal(18,0)") * pos_above * 2).cast(whole)
-    totals = per_range.withColumn("won", (F.col("won") + across).cast(whole)).agg(
+    totals = per_range.withColumn("won", (F.col("won") + across).cast(whole)).groupBy(*by).agg(
         F.sum("won").cast("double").alias("won"),
         F.sum("pos").alias("positives"),
         F.sum("neg").alias("negatives"),
     )
     pairs = F.col("positives").cast("double") * F.col("negatives").cast("double")
     return totals.select(
-        "positives", "negatives", F.try_divide(F.col("won"), pairs * 2).alias("auc")
+        *by, "positives", "negatives", F.try_divide(F.col("won"), pairs * 2).alias("auc")
     )
 
 
@@ -249,28 +234,27 @@ def cross_validated_auc(
     folds: int = FOLDS,
     features: list[str] = FEATURES,
     seed: int = SEED,
-    **settings,
+    trees: int = TREES,
+    depth: int = DEPTH,
+    min_rows: int = MIN_ROWS_PER_LEAF,
 ) -> DataFrame:
-    """AUC of each fold's held-out rows, for a forest trained on the other folds."""
+    """AUC of each fold's held-out rows, for a forest trained on the other folds.
+
+    All folds' forests grow in the same scans, and one more scan scores every row by the
+    forest that has not seen it.
+    """
     placed = label_place(df, key, seed)
     folded = stage(placed.withColumn("fold", (F.col("_place") % folds).cast("int")).drop("_place"), "folds")
-
-    def one(fold: int) -> DataFrame:
-        train, test = folded.filter(F.col("fold") != fold), folded.filter(F.col("fold") == fold)
-        model = train_late_risk_forest(train, features, seed=seed, **settings)
-        auc = auc_roc(score_late_risk(model, test), "late_probability")
-        return auc.select(F.lit(fold).alias("fold"), "auc")
-
-    # The fits are independent jobs; together they fill the cluster.
-    with ThreadPoolExecutor(folds) as pool:
-        return reduce(DataFrame.unionByName, pool.map(one, range(folds)))
+    fold = F.col("fold")
+    forests = forest.grow(folded, features, LABEL, key, trees, depth, min_rows, seed, fold, folds)
+    scored = _with_prediction(folded, forest.probability(folded, forests, fold))
+    every = df.sparkSession.range(folds).select(F.col("id").cast("int").alias("fold"))
+    return every.join(auc_roc(scored, "late_probability", by=("fold",)), "fold", "left").select("fold", "auc")
 
 
-def feature_importance(df: DataFrame, model: PipelineModel) -> DataFrame:
+def feature_importance(df: DataFrame, model: Forest) -> DataFrame:
     """Share of the impurity decrease each feature brings, largest first."""
-    names = model.stages[0].getInputCols()
-    weights = model.stages[-1].featureImportances.toArray()
     return df.sparkSession.createDataFrame(
-        [(name, float(weight)) for name, weight in zip(names, weights)],
+        [(name, float(weight)) for name, weight in zip(model.features, model.importance)],
         "feature string, importance double",
     ).orderBy(F.desc("importance"), "feature")

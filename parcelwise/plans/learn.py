@@ -6,10 +6,10 @@ import datetime
 import uuid
 from dataclasses import dataclass
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators import anomaly, classify, forecast, score
+from ..operators.forest import Forest
 from ..session import fit_partitions
 from ..sources import models, runs, tables
 from .ingest import MONTHLY_VIEW
@@ -24,7 +24,7 @@ SPLIT_KEY = ["order_id", "product_id", "customer_id", "quantity"]
 
 @dataclass(frozen=True)
 class Learned:
-    model: PipelineModel
+    model: Forest
     report: DataFrame
     importance: DataFrame
     forecasts: DataFrame
@@ -40,8 +40,9 @@ def classify_orders(fact: DataFrame, home: str, split_key: list[str], trees: int
     features = classify.classifier_features(
         classify.encode_region(fact), keep=tuple(c for c in split_key if c not in classify.FEATURES)
     )
-    rows = classify.stratified_split(tables.stage(features, "features"), split_key)
-    model = classify.train_late_risk_forest(rows.filter(~F.col("is_test")), trees=trees)
+    split = classify.stratified_split(tables.stage(features, "features"), split_key)
+    rows = tables.stage(split, "model-rows")
+    model = classify.train_late_risk_forest(rows.filter(~F.col("is_test")), trees=trees, key=split_key)
     tested = tables.stage(
         classify.score_late_risk(model, rows.filter(F.col("is_test"))), "tested"
     )
