@@ -3,8 +3,10 @@
 Adding doubles gives a different last digit for every partitioning. Here each value is
 taken apart into a whole number and two fractions in units of 2^-40 and 2^-80. The three
 are whole numbers, so their sums are exact in any order, and only the three totals are
-turned back into a double. Values beyond 38 digits and values that are not finite take a
-plain sum, which they decide alone.
+turned back into a double. What a value has below 2^-80 is added as doubles: no part of a
+value is lost, and order can change a last digit only where whole sums are that small.
+Values beyond 38 digits and values that are not finite take a plain sum, which they
+decide alone.
 """
 
 from __future__ import annotations
@@ -19,24 +21,26 @@ def _as_column(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def _parts(x: Column) -> tuple[Column, Column, Column]:
+def _parts(x: Column) -> tuple[Column, Column, Column, Column]:
     x = x.cast("double")
     whole = F.rint(x)
     fine = (x - whole) * UNIT
     finest = (fine - F.rint(fine)) * UNIT
-    return whole.try_cast("decimal(38,0)"), F.rint(fine).try_cast(WHOLE), F.rint(finest).try_cast(WHOLE)
+    rest = finest - F.rint(finest)
+    return whole.try_cast("decimal(38,0)"), F.rint(fine).try_cast(WHOLE), F.rint(finest).try_cast(WHOLE), rest
 
 
-def _joined(whole: Column, fine: Column, finest: Column, plain: Column, sound: Column) -> Column:
-    small = (fine.cast("double") + finest.cast("double") / UNIT) / UNIT
+def _joined(whole: Column, fine: Column, finest: Column, rest: Column, plain: Column, sound: Column) -> Column:
+    small = (fine.cast("double") + (finest.cast("double") + rest) / UNIT) / UNIT
     return F.coalesce(F.when(sound, whole.cast("double") + small), plain)
 
 
 def exact_sum(c: Column | str) -> Column:
     x = _as_column(c)
-    whole, fine, finest = _parts(x)
+    whole, fine, finest, rest = _parts(x)
     sound = F.bool_and(x.isNull() | whole.isNotNull())
-    return _joined(F.try_sum(whole), F.try_sum(fine), F.try_sum(finest), F.sum(x.cast("double")), sound)
+    sums = [F.try_sum(part) for part in (whole, fine, finest)]
+    return _joined(*sums, F.sum(rest), F.sum(x.cast("double")), sound)
 
 
 def round_half_away(x: Column, digits: int) -> Column:
@@ -85,17 +89,17 @@ class WeightedTotal:
 
     def __init__(self, column: str):
         self.column = column
-        self._names = [f"_{column}_{part}" for part in ("whole", "fine", "finest", "plain", "sound")]
+        self._names = [f"_{column}_{part}" for part in ("whole", "fine", "finest", "rest", "plain", "sound")]
 
     def partial(self) -> list[Column]:
         x = F.col(self.column)
-        whole, fine, finest = _parts(x)
+        whole, fine, finest, rest = _parts(x)
         sums = [F.try_sum(part) for part in (whole, fine, finest)]
-        sums += [F.sum(x.cast("double")), F.bool_and(x.isNull() | whole.isNotNull())]
+        sums += [F.sum(rest), F.sum(x.cast("double")), F.bool_and(x.isNull() | whole.isNotNull())]
         return [part.alias(name) for part, name in zip(sums, self._names)]
 
     def combine(self, weight: str) -> Column:
-        *exact, plain, sound = [F.col(name) for name in self._names]
+        *exact, rest, plain, sound = [F.col(name) for name in self._names]
         w = F.col(weight)
         sums = [F.try_sum(F.try_multiply(part, w.cast("decimal(10,0)"))) for part in exact]
-        return round_half_away(_joined(*sums, F.sum(plain * w), F.bool_and(sound)), 2)
+        return round_half_away(_joined(*sums, F.sum(rest * w), F.sum(plain * w), F.bool_and(sound)), 2)

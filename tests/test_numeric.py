@@ -35,3 +35,14 @@ def test_values_that_are_no_numbers_decide_the_sum(spark):
     assert one(spark, [1.0, None], exact_sum("x")) == 1.0
     assert one(spark, [None], exact_sum("x")) is None
     assert one(spark, [None], exact_avg("x")) is None
+
+
+@pytest.mark.parametrize("x", [1e-30, 1.2345678901234567e-12, 5e-324, 123456.00000012345, 1e14 + 0.3, -7.1e-25])
+def test_the_sum_of_one_value_is_that_value(spark, x):
+    assert one(spark, [x], exact_sum("x")) == x
+
+
+def test_tiny_values_are_added(spark):
+    assert one(spark, [1e-30, 3e-30], exact_avg("x")) == 2e-30
+    assert one(spark, [1e14, 1e-30, -1e14], exact_sum("x")) == 1e-30
+    assert one(spark, [1e-12, 1e-30], exact_sum("x")) == 1e-12 + 1e-30
