@@ -109,18 +109,19 @@ class Model:
 
 def fit(df: DataFrame, rows: int = FIT_ROWS) -> Model | None:
     """A model of the languages of ``df`` (doc_id, text, lang), learnt from at most about
-    ``rows`` rows; what reaches the driver are their n-gram sets. None without such rows."""
-    known = df.select("doc_id", "lang", "text").filter(
+    ``rows`` rows; what reaches the driver are their n-gram sets. Rows are drawn by id and
+    text, and equal ones are one row. None without such rows."""
+    known = df.select("doc_id", "lang", "text", F.xxhash64("text").alias("content")).filter(
         ~held_out(F.col("doc_id")) & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")
     )
-    sample, _ = per_class(known, "lang", "doc_id", rows)
+    sample, _ = per_class(known, "lang", ["doc_id", "content"], rows)
 
     def grams(batches):
         for doc_id, lang, text in rows_of(batches, ["doc_id", "lang", "text"]):
             yield doc_id, lang, gram_set(text).tobytes()
 
     found = sample.mapInArrow(lambda b: batches_of(grams(b), GRAMS, 64), GRAMS)
-    found = sorted(found.collect(), key=lambda r: (r.lang, -1 if r.doc_id is None else r.doc_id))
+    found = sorted(found.collect(), key=lambda r: (r.lang, -1 if r.doc_id is None else r.doc_id, r.grams))
     if not found:
         return None
     order = np.random.default_rng(0).permutation(len(found))

@@ -75,6 +75,16 @@ def rates(df: DataFrame, weights: dict[str, float] | None = None, total: float |
     return sizes.withColumn("rate", rate)
 
 
+def named(df: DataFrame) -> DataFrame:
+    """row (all columns) and name, what a row draws by: its doc_id, or its number among the
+    rows without one. The numbers are stored, so a lost task cannot number anew."""
+    known = df.filter(F.col("doc_id").isNotNull())
+    known = known.select(F.struct("*").alias("row"), F.col("doc_id").cast("string").alias("name"))
+    number = F.concat(F.lit("-|"), F.monotonically_increasing_id().cast("string"))
+    lost = df.filter(F.col("doc_id").isNull()).select(F.struct("*").alias("row"), number.alias("name"))
+    return known.unionByName(stage(lost, "no-id"))
+
+
 def mix(
     df: DataFrame,
     weights: dict[str, float] | None = None,
@@ -86,8 +96,9 @@ def mix(
 
     Null sources are one source, null texts have no characters; a source without
     characters keeps each document once, one of weight zero none. Rows that repeat a
-    doc_id draw alike; a null id draws as ''. An empty table gives no rows. Partitions
-    and the rows in them follow shuffle_key.
+    doc_id draw alike. Rows without one are numbered, stored, and draw by their number,
+    each for itself; another partitioning numbers them in another order. An empty table
+    gives no rows. Partitions and the rows in them follow shuffle_key.
 
     Only the table of rates meets the documents. It has one row per source; a counted
     table of up to BROADCAST sources is broadcast, so that texts pass one shuffle, and
@@ -101,24 +112,24 @@ def mix(
     found = stage(found.select(F.col("source").alias("of"), table("rate").alias("table")), "rates")
     most = F.col("table.first") + F.size("table.below")
     n_sources, highest = found.agg(F.count("*"), F.max(most)).first()
-    draw = share_of(F.lit(seed), F.col("row.doc_id"))
+    draw = share_of(F.lit(seed), F.col("name"))
     below = F.size(F.filter("table.below", lambda p: p <= F.col("draw"))).cast("long")
     copies = F.col("table.first") + below
-    key = share_of(F.lit(seed), F.lit("order"), F.col("row.doc_id"), F.col("copy"))
+    key = share_of(F.lit(seed), F.lit("order"), F.col("name"), F.col("copy"))
+    told = named(df)
 
     def counted(table: DataFrame) -> DataFrame:
         if n_sources <= BROADCAST:
             table = F.broadcast(table)
         return (
-            df.select(F.struct("*").alias("row"))
-            .join(table, F.col("row.source").eqNullSafe(F.col("of")))
+            told.join(table, F.col("row.source").eqNullSafe(F.col("of")))
             .withColumn("draw", draw)
-            .select("row", copies.alias("copies"))
+            .select("row", "name", copies.alias("copies"))
             .filter("copies > 0")
         )
 
     def numbered(rows: DataFrame, low: Column, high: Column) -> DataFrame:
-        return rows.select("row", F.explode(F.sequence(low.cast("long"), high.cast("long"))).alias("copy"))
+        return rows.select("row", "name", F.explode(F.sequence(low.cast("long"), high.cast("long"))).alias("copy"))
 
     if (highest or 0) <= BLOCK:
         each = numbered(counted(found), F.lit(1), F.col("copies"))
@@ -129,7 +140,7 @@ def mix(
         blocks = (
             counted(found.filter(most > BLOCK))
             .withColumn("low", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"), F.lit(BLOCK).cast("long"))))
-            .repartition(parts, F.col("row.doc_id"), F.col("low"))
+            .repartition(parts, F.col("name"), F.col("low"))
         )
         each = few.unionByName(numbered(blocks, F.col("low"), F.least("copies", F.col("low") + (BLOCK - 1))))
     mixed = (

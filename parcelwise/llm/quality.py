@@ -141,7 +141,8 @@ def fit(documents: DataFrame, labels: DataFrame, rows: int = FIT_ROWS, longest:
         .groupBy("doc_id")
         .agg(F.min("quality").alias("quality"))
     )
-    sample, sizes = per_class(known, "quality", "doc_id", rows)
+    sample, classes = per_class(known, "quality", ["doc_id"], rows)
+    sizes = {r.quality: r.n for r in classes.collect()}  # at most two
     found = (
         documents.select("doc_id", "text")
         .filter(F.octet_length("text") <= longest)

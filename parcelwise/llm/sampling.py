@@ -6,24 +6,23 @@ from pyspark.sql import DataFrame, functions as F
 
 from .common import share_of
 
-# Classes looked at, the most frequent first; bounds what the driver holds.
-CLASSES = 1000
 
+def per_class(df: DataFrame, label: str, key: list[str], rows: int) -> tuple[DataFrame, DataFrame]:
+    """About ``rows`` rows in all, as many of each class where it has them; and the classes
+    (``label``, n), n the number of their rows. Null classes are out.
 
-def per_class(df: DataFrame, label: str, key: str, rows: int) -> tuple[DataFrame, dict]:
-    """About ``rows`` rows in all, as many of each class where it has them, and the number
-    of rows of each class. Rows are drawn by the hash of their key; null classes are out."""
-    counts = (
-        df.filter(F.col(label).isNotNull())
-        .groupBy(label)
-        .count()
-        .orderBy(F.desc("count"), label)
-        .limit(CLASSES)
-        .collect()
+    Rows are drawn by the hash of ``key``, and those that agree in label and key are one
+    row, here and in the counts. With more classes than ``rows`` some have no row.
+    """
+    known = df.filter(F.col(label).isNotNull())
+    drawn = F.xxhash64(*key)
+    sizes = known.select(label, drawn.alias("drawn")).distinct().groupBy(label).agg(F.count("*").alias("n"))
+    each = rows / max(1, sizes.count())
+    classes = sizes.select(F.col(label).alias("_of"), F.col("n").alias("_n"))
+    picked = (
+        known.join(classes, F.col(label) == F.col("_of"))
+        .filter(share_of(F.lit("fit"), *[F.col(k) for k in key]) < F.lit(each) / F.col("_n"))
+        .drop("_of", "_n")
+        .dropDuplicates([label, *key])
     )
-    sizes = {r[label]: r["count"] for r in counts}
-    each = rows / max(1, len(sizes))
-    keep = F.lit(False)
-    for value, size in sizes.items():
-        keep = keep | ((F.col(label) == F.lit(value)) & (share_of(F.lit("fit"), F.col(key)) < each / size))
-    return df.filter(keep), sizes
+    return picked, sizes

@@ -34,8 +34,8 @@ FOUND = "query_id long, vec_id long, score long"
 
 
 def pivots_of(data: DataFrame, width: int, largest: float) -> np.ndarray:
-    """PIVOTS data vectors with their extra component, drawn by the hash of their id."""
-    rows = data.orderBy(F.xxhash64("id"), "id").limit(PIVOTS).collect()
+    """PIVOTS data vectors with their extra component, drawn by the hash of id and vector."""
+    rows = data.orderBy(F.xxhash64("id", "vector"), "id", "vector").limit(PIVOTS).collect()
     out = np.zeros((len(rows), width + 1))
     for k, r in enumerate(rows):
         out[k, : len(r.vector)] = r.vector
@@ -136,18 +136,19 @@ def top_k(queries: DataFrame, data: DataFrame, k: int) -> DataFrame:
     """query_id, rank, vec_id, score: per row of ``queries`` (id, vector) the k largest inner
     products with ``data`` (id, vector), vectors being arrays of longs.
 
-    Ties go to the smaller vec_id, a query's own id is left out, and of rows with one id
-    the least vector counts. Rows with a null id or vector take no part; vectors of
-    different lengths are filled with zeros. Without data or queries there are no rows.
+    Ties go to the smaller vec_id, and a query's own id is left out. Different vectors of
+    one id are candidates of their own, equal rows are one; of queries with one id the
+    least vector counts. Rows with a null id or vector take no part; vectors of different
+    lengths are filled with zeros. Without data or queries there are no rows.
     """
     small_batches(data.sparkSession)
     norm = F.aggregate("vector", F.lit(0.0), lambda s, x: s + x.cast("double") * x)
 
-    def single(df):
-        rows = df.filter(F.col("id").isNotNull() & F.col("vector").isNotNull())
-        return rows.groupBy("id").agg(F.min("vector").alias("vector"))
+    def known(df):
+        return df.select("id", "vector").filter(F.col("id").isNotNull() & F.col("vector").isNotNull())
 
-    data, queries = stage(single(data), "data"), stage(single(queries), "queries")
+    data = stage(known(data).distinct(), "data")
+    queries = stage(known(queries).groupBy("id").agg(F.min("vector").alias("vector")), "queries")
     widths = data.select(F.size("vector").alias("w"), norm.alias("n")).unionByName(
         queries.select(F.size("vector").alias("w"), F.lit(0.0).alias("n"))
     )
@@ -163,7 +164,12 @@ def top_k(queries: DataFrame, data: DataFrame, k: int) -> DataFrame:
         F.count("*"), F.min("distance"), F.max("distance")
     ).orderBy("cell", "shell").collect()
     cells = asked.groupBy("cell").agg(F.count("*"), F.max("distance")).orderBy("cell").collect()
-    runs, needs, totals = plan(pivots, [tuple(r) for r in shells], [tuple(r) for r in cells], k)
+    # A query leaves out all vectors of its id, so the bound must hold for k besides them.
+    own = data.join(queries.select("id"), "id", "left_semi").groupBy("id").agg(F.count("*").alias("n"))
+    most = own.agg(F.max("n")).first()[0] or 1
+    runs, needs, totals = plan(
+        pivots, [tuple(r) for r in shells], [tuple(r) for r in cells], k + most - 1
+    )
     spark = data.sparkSession
     sizes = {run: sum(n for c, n, _ in cells if runs[c] == run) for run in totals}
     parts = {run: -(-n // QUERIES) for run, n in sizes.items()}
@@ -176,7 +182,7 @@ def top_k(queries: DataFrame, data: DataFrame, k: int) -> DataFrame:
         [(c, run, parts[run], chunks[run]) for c, run in runs.items()],
         "cell int, run int, parts int, chunks int",
     )
-    pick = lambda n: F.pmod(F.xxhash64("id"), F.col(n)).cast("int")
+    pick = lambda n: F.pmod(F.xxhash64("id", "vector"), F.col(n)).cast("int")
     all_of = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     # Both tables are bounded by PIVOTS x SHELLS x PIVOTS rows.
     sent = placed.join(F.broadcast(routes), ["cell", "shell"]).select(
