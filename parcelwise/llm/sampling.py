@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from .common import share_of
+from .common import share_of, stage
 
 
 def per_class(df: DataFrame, label: str, key: list[str], rows: int) -> tuple[DataFrame, DataFrame]:
@@ -17,6 +17,8 @@ def per_class(df: DataFrame, label: str, key: list[str], rows: int) -> tuple[Dat
     known = df.filter(F.col(label).isNotNull())
     drawn = F.xxhash64(*key)
     sizes = known.select(label, drawn.alias("drawn")).distinct().groupBy(label).agg(F.count("*").alias("n"))
+    # Stored, so that Spark broadcasts it by its measured size and the rows stay where they are.
+    sizes = stage(sizes, "classes")
     each = rows / max(1, sizes.count())
     classes = sizes.select(F.col(label).alias("_of"), F.col("n").alias("_n"))
     picked = (
