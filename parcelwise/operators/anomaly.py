@@ -27,12 +27,48 @@ SEED = 42
 
 # Rows the trees draw from.
 POOL_ROWS = 4 * TREES * TREE_ROWS
+# Times as many rows as the pool holds that are drawn from a table, so that the pool is
+# full though some of them lack a feature.
+SPARE = 4
 
 
 def anomaly_features(fact: DataFrame, features: list[str] = FEATURES) -> DataFrame:
     return fact.select(*features).dropna()
 
 
+def smallest_draws(df: DataFrame, features: list[str], pool_rows: int, seed: int, key: list[str]) -> DataFrame:
+    """The ``pool_rows`` rows of the smallest draws, as features and their number of copies.
+
+    A row draws by its key and features. Tasks keep draws below a limit that some ``SPARE``
+    times the wanted number pass; of these, stored, the smallest are taken, so the limit
+    itself has no influence on the pool. The number of all rows, from which the limit comes,
+    is in the files' footers where ``df`` is a stored table: its columns are read once.
+    Only where most rows lack a feature are too few below the limit, and a higher one
+    takes another scan. Rows equal in key and features are counted before they meet.
+    """
+    numbers = [F.col(c).cast("double").alias(c) for c in features]
+    known = df.dropna(subset=features)
+    draw = unit_draw(F.lit(seed), *key, *[F.col(c) for c in features if c not in key])
+    drawn = known.select(draw.alias("draw"), *numbers)
+    limit = min(1.0, SPARE * pool_rows / max(1, df.count()))
+    while True:
+        below = drawn.filter(F.col("draw") < limit).groupBy("draw", *features).agg(F.count("*").alias("copies"))
+        below = stage(below, "draws")
+        found = below.agg(F.sum("copies")).first()[0] or 0
+        if found >= pool_rows or limit >= 1.0:
+            break
+        limit = min(1.0, limit * SPARE * pool_rows / max(1, found))
+    # One task orders some SPARE x pool_rows short rows, whatever the size of the table.
+    before = Window.orderBy("draw", *features).rowsBetween(Window.unboundedPreceding, -1)
+    room = F.lit(pool_rows) - F.coalesce(F.sum("copies").over(before), F.lit(0))
+    return (
+        below.withColumn("copies", F.least("copies", room))
+        .filter("copies > 0")
+        .groupBy(*features)
+        .agg(F.sum("copies").alias("copies"))
+    )
+
+
 def sample_pool(
     df: DataFrame,
     features: list[str],
@@ -40,25 +76,23 @@ def sample_pool(
     seed: int = SEED,
     key: list[str] | None = None,
 ) -> tuple[DataFrame, int]:
-    """A random pool of feature rows with their number of copies; and all rows counted.
+    """A random pool of feature rows with their number of copies; and the number of rows it
+    was drawn from, or of the pool if ``key`` is given and there are more.
 
-    With ``key``, columns that tell rows apart, each row is drawn by its key's hash: a scan
-    without a shuffle. Without one, rows are told apart by their features alone, so their
-    copies are counted first and each gets its share of the pool. Either way the pool is
-    the same under any partitioning, and the rule the same at any size.
+    With ``key``, columns that tell rows apart, the pool is the rows of the smallest draws:
+    one scan. Without one, rows are told apart by their features alone, so their copies are
+    counted first and each gets its share of the pool. Either way the pool is the same
+    under any partitioning, and the rule the same at any size.
     """
-    known = df.dropna(subset=features)
-    rows = known.select(*[F.col(c).cast("double").alias(c) for c in features])
+    if key:
+        pool = stage(smallest_draws(df, features, pool_rows, seed, key), "pool")
+        return pool, pool.agg(F.coalesce(F.sum("copies"), F.lit(0))).first()[0]
+    rows = df.dropna(subset=features).select(*[F.col(c).cast("double").alias(c) for c in features])
     total = rows.count()
     share = min(1.0, pool_rows / total) if total else 1.0
-    if key:
-        drawn = known.filter(unit_draw(F.lit(seed), *key) < share)
-        numbers = drawn.select(*[F.col(c).cast("double").alias(c) for c in features])
-        counted = numbers.groupBy(*features).agg(F.count("*").alias("copies"))
-    else:
-        counted = rows.groupBy(*features).agg(F.count("*").alias("copies"))
-        part = F.floor(F.col("copies") * share + unit_draw(F.lit(seed), *features))
-        counted = counted.withColumn("copies", part).filter("copies > 0")
+    counted = rows.groupBy(*features).agg(F.count("*").alias("copies"))
+    part = F.floor(F.col("copies") * share + unit_draw(F.lit(seed), *features))
+    counted = counted.withColumn("copies", part).filter("copies > 0")
     return stage(counted, "pool"), total
 
 
@@ -70,8 +104,13 @@ def sample_for_trees(
     pool_rows: int = POOL_ROWS,
     seed: int = SEED,
 ) -> DataFrame:
-    """``tree_rows`` random rows of the pool for each tree."""
-    each = pool.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
+    """``tree_rows`` random rows of the pool for each tree.
+
+    The pool is small but draws for every tree, so it is dealt out to a given number of
+    tasks; Spark would put it into one.
+    """
+    tasks = int(pool.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    each = pool.repartition(tasks, *features).withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
     # Three times as many as needed; the smallest draws among them are taken. Only the
     # trees a row is drawn for become rows.
     enough = min(1.0, 3.0 * tree_rows / pool_rows)
@@ -249,7 +288,7 @@ def flag_anomalies(
 ) -> DataFrame:
     """Flag scores strictly above the exact (1 - contamination) quantile.
 
-    Scores are read several times; pass a stored table when scoring is costly.
+    Scores are read twice; pass a stored table when scoring is costly.
     """
     return flag_above(scored, exact_quantile(scored, score, 1.0 - contamination), score)
 

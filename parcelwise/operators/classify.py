@@ -40,12 +40,20 @@ DRAWS = 4096
 def region_codes(df: DataFrame) -> DataFrame:
     """Region names and their codes 0..k-1 in name order, one row per region.
 
-    Names are made distinct first; one task numbers them as a sorted stream.
+    Distinct names are dealt out by ranges and numbered in each; a code is the place in the
+    range behind the names of earlier ranges, which are counted by range. The ranges are
+    stored, as another run of the plan may cut others.
     """
     name = F.coalesce(F.col("region_name"), F.lit(UNKNOWN_REGION))
     names = df.select(name.alias("region_label")).distinct()
-    code = F.row_number().over(Window.orderBy("region_label")) - 1
-    return names.select(code.alias("region_encoded"), "region_label")
+    ranged = names.repartitionByRange("region_label").withColumn("range", F.spark_partition_id())
+    place = F.row_number().over(Window.partitionBy("range").orderBy("region_label"))
+    placed = stage(ranged.withColumn("place", place), "region-names")
+    before = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = placed.groupBy("range").agg(F.count("*").alias("n"))
+    starts = starts.select("range", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
+    code = (F.col("start") + F.col("place") - 1).cast("int")
+    return placed.join(starts, "range").select(code.alias("region_encoded"), "region_label")
 
 
 def encode_region(df: DataFrame, codes: DataFrame | None = None) -> DataFrame:

@@ -1,4 +1,5 @@
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -79,8 +80,6 @@ def test_copies_keep_their_share_of_the_pool(spark, orders):
 def test_scores_follow_the_tree_definition(spark):
     """One tree with one split, scored by hand."""
     grow = anomaly._tree_grower(["x"], 4, 0)
-    import pandas as pd
-
     tree = grow(pd.DataFrame({"tree": [0] * 4, "place": [1, 2, 3, 4], "x": [0.0, 0.0, 0.0, 9.0]}))
     assert tree["feature"][0].shape == (3,) and 0 < tree["threshold"][0][0] < 9
     forest = anomaly.IsolationForest(
@@ -141,3 +140,44 @@ def test_keyed_rows_are_drawn_alike_at_any_partitioning(spark, orders):
         ]
         assert pools[0] == pools[1]
         assert sum(p[-1] for p in pools[0]) == pytest.approx(min(pool_rows, 4020), rel=0.15)
+
+
+def test_pool_is_the_rows_of_the_smallest_draws(spark):
+    """Nine rows in ten lack a feature: a second limit is needed, the pool is full all the same."""
+    rows = spark.range(30_000).select(
+        F.col("id").alias("order_id"),
+        F.when(F.col("id") % 10 == 0, F.col("id") % 700).alias("x"),
+        F.lit(1.5).alias("y"),
+    )
+    found, size = anomaly.sample_pool(rows, ["x", "y"], 500, key=["order_id"])
+    draw = anomaly.unit_draw(F.lit(anomaly.SEED), "order_id", "x", "y")
+    wanted = rows.dropna().select(draw.alias("draw"), F.col("x").cast("double"), "y").orderBy("draw").limit(500)
+    wanted = wanted.groupBy("x", "y").agg(F.count("*").alias("copies"))
+    assert size == 500 and found.exceptAll(wanted).count() == 0 and wanted.exceptAll(found).count() == 0
+    # A key that all rows share does not make them one draw; copies of one row fill it.
+    one, size = anomaly.sample_pool(rows.withColumn("order_id", F.lit(1)).fillna(3), ["x", "y"], 500, key=["order_id"])
+    assert size == 500
+    assert anomaly.sample_pool(rows.limit(0), ["x", "y"], 500, key=["order_id"])[1] == 0
+
+
+@pytest.mark.parametrize("share", [0.0, 1e-5, 0.3, 0.95, 0.99999, 1.0])
+def test_quantile_in_the_bracket_of_a_sketch(spark, share):
+    """More rows than the sketch tells apart, with ties, a constant and far values."""
+    rng = np.random.default_rng(2)
+    samples = {
+        "spread": rng.normal(size=60_000),
+        "tied": rng.integers(0, 3, 60_000).astype(float),
+        "mixed": np.concatenate([np.full(40_000, 0.25), rng.uniform(size=20_000), [-1e300, 1e300]]),
+        "constant": np.full(30_000, -3.5),
+    }
+    for values in samples.values():
+        df = spark.createDataFrame(pd.DataFrame({"v": values}))
+        assert exact_quantile(df, "v", share) == pytest.approx(np.quantile(values, share), rel=1e-15, abs=1e-15)
+
+
+def test_quantile_outside_of_the_bracket(spark, monkeypatch):
+    from parcelwise.functions import quantile
+
+    df = spark.range(1000).select(F.col("id").cast("double").alias("v"))
+    monkeypatch.setattr(quantile, "_bracket", lambda *_: (10.0, 20.0, 0.0, 999.0, 1000))
+    assert quantile.exact_quantile(df, "v", 0.95) == pytest.approx(949.05)

@@ -110,3 +110,11 @@ def test_a_hundred_thousand_regions(spark):
     codes = classify.encode_region(df)
     assert codes.agg(F.max("region_encoded")).first()[0] == 99_999
     assert codes.select("region_encoded").distinct().count() == 100_000
+
+
+def test_codes_of_many_regions(spark):
+    rows = spark.range(200_000).select(F.concat(F.lit("r"), F.col("id") % 100_000).alias("region_name"))
+    found = classify.region_codes(rows).toPandas().sort_values("region_label")
+    assert found.region_encoded.tolist() == list(range(100_000))
+    assert found.region_label.tolist() == sorted(f"r{k}" for k in range(100_000))
+    assert classify.region_codes(rows.limit(0)).count() == 0
