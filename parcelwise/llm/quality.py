@@ -14,18 +14,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from .common import held_out, small_batches
+from .common import held_out, share_of, small_batches, stage
 from .sampling import per_class
 
 DEPTH, LAGS = 7, 20
 WIDTH, STEP, FILTERS = 24, 12, 32
-# Bounds of the fitting sample: rows, and bytes of a text fitted on.
+# Bounds of the fitting sample: rows, and bytes of the texts of a class.
 FIT_ROWS = 6000
-FIT_BYTES = 32 * 1024
+FIT_BYTES = 16 << 20
 STEPS, BATCH, RATE = 1000, 64, 0.004
-# Bytes convolved at once when scoring; bounds memory for long texts.
+# Bytes convolved at once; bounds memory for long texts.
 PART = 96 * 1024
 
 
@@ -83,15 +83,30 @@ class Network:
         hidden = np.tanh(pooled + self.params["bias"])
         return 1 / (1 + np.exp(-(hidden @ self.params["out"] + self.params["base"]).astype(np.float64)))
 
+    def tops(self, byte: np.ndarray, same: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Per filter: its largest answer over the whole text, the first chunk that gives
+        it, and the numbers of that chunk."""
+        best = place = held = None
+        for at in range(0, len(byte) - WIDTH + 1, PART):
+            end = at + PART + WIDTH - STEP
+            part = self.chunks(byte[at:end], same[at:end])
+            answers = part @ self.params["filters"]
+            top = answers.argmax(0)
+            value = answers[top, np.arange(FILTERS)]
+            if best is None:
+                best, place, held = value, top, part[top]
+                continue
+            better = value > best
+            best, place = np.where(better, value, best), np.where(better, top + at // STEP, place)
+            held[better] = part[top[better]]
+        return best, place, held
+
     def gradients(self, rows: list[tuple], goals: np.ndarray, weights: np.ndarray) -> dict:
         """Of the weighted log loss over rows of (bytes, repeats)."""
         p = self.params
         grads = {k: np.zeros_like(v) for k, v in p.items()}
-        parts = [self.chunks(byte, same) for byte, same in rows]
-        answers = [part @ p["filters"] for part in parts]
-        tops = [a.argmax(0) for a in answers]
-        best = np.stack([a[t, np.arange(FILTERS)] for a, t in zip(answers, tops)])
-        hidden = np.tanh(best + p["bias"])
+        tops = [self.tops(byte, same) for byte, same in rows]
+        hidden = np.tanh(np.stack([best for best, _, _ in tops]) + p["bias"])
         score = 1 / (1 + np.exp(-(hidden @ p["out"] + p["base"])))
         error = ((score - goals) * weights / len(rows)).astype(np.float32)
         grads["out"] = hidden.T @ error
@@ -99,9 +114,9 @@ class Network:
         back = error[:, None] * p["out"] * (1 - hidden**2)
         grads["bias"] = back.sum(0)
         wide = p["filters"].T.reshape(FILTERS, WIDTH, DEPTH + 1)
-        for (byte, _), part, top, b in zip(rows, parts, tops, back):
-            grads["filters"] += part[top].T * b
-            places = top[:, None] * STEP + np.arange(WIDTH)
+        for (byte, _), (_, place, held), b in zip(rows, tops, back):
+            grads["filters"] += held.T * b
+            places = place[:, None] * STEP + np.arange(WIDTH)
             np.add.at(grads["vectors"], byte[places], wide[:, :, :DEPTH] * b[:, None, None])
         return grads
 
@@ -127,13 +142,16 @@ class Network:
         return self
 
 
-def fit(documents: DataFrame, labels: DataFrame, rows: int = FIT_ROWS, longest: int = FIT_BYTES) -> Network | None:
-    """A network fitted to ``labels`` (doc_id, quality 0 or 1), at most about ``rows`` rows of
-    them, half of each class, weighted back to the classes' shares. Held-out documents and
-    texts of over ``longest`` bytes are not fitted on; of contradicting labels the lower
-    counts, labels other than 0 and 1 none. None without any such row.
+def fit(documents: DataFrame, labels: DataFrame, rows: int = FIT_ROWS, most: int = FIT_BYTES) -> Network | None:
+    """A network fitted to ``labels`` (doc_id, quality 0 or 1), at most about ``rows`` texts of
+    them, half of each class, weighted back to the classes' shares. Held-out documents are not
+    fitted on; of contradicting labels the lower counts, labels other than 0 and 1 none. None
+    without any such text; null texts and rows without an id have no label.
 
-    The driver gets the sample's texts, at most rows x longest bytes.
+    Texts are drawn by id and content: of rows that repeat an id each text is drawn for
+    itself, equal ones are one, and the length has no part in it. Of a class, texts stay in
+    the order of the draw until they have ``most`` bytes, so the driver gets at most twice
+    that and one text a class. They are fitted on whole.
     """
     known = (
         labels.filter(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull())
@@ -141,12 +159,18 @@ def fit(documents: DataFrame, labels: DataFrame, rows: int = FIT_ROWS, longest:
         .groupBy("doc_id")
         .agg(F.min("quality").alias("quality"))
     )
-    sample, classes = per_class(known, "quality", ["doc_id"], rows)
+    texts = documents.filter("text IS NOT NULL").select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
+    sized = texts.select("doc_id", "text_hash", F.octet_length("text").cast("long").alias("bytes"))
+    key = ["doc_id", "text_hash"]
+    sample, classes = per_class(stage(sized.join(known, "doc_id"), "labelled"), "quality", key, rows)
     sizes = {r.quality: r.n for r in classes.collect()}  # at most two
+    drawn = share_of(F.lit("order"), F.col("doc_id"), F.col("text_hash"))
+    before = Window.partitionBy("quality").orderBy(drawn, *key).rowsBetween(Window.unboundedPreceding, -1)
+    sample = sample.withColumn("before", F.coalesce(F.sum("bytes").over(before), F.lit(0)))
+    sample = sample.filter(F.col("before") < most).select(*key, "quality")
     found = (
-        documents.select("doc_id", "text")
-        .filter(F.octet_length("text") <= longest)
-        .join(F.broadcast(sample), "doc_id")  # about ``rows`` ids
+        texts.join(F.broadcast(sample), key)  # about ``rows`` ids
+        .dropDuplicates(key)
         .select("doc_id", "quality", "text")
         .collect()
     )
@@ -178,7 +202,8 @@ def scorer(spark: SparkSession, network: Network | None):
 
 
 def score(df: DataFrame, network: Network | None) -> DataFrame:
-    """doc_id and score of every row of ``df`` (doc_id, text); other columns are not read."""
+    """doc_id and score of every row of ``df`` (doc_id, text); other columns are not read. Rows
+    that are repeated each have their score, an empty table has none."""
     return df.select("doc_id", scorer(df.sparkSession, network)("text").alias("score"))
 
 

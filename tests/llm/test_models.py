@@ -123,3 +123,43 @@ def test_odd_texts_have_a_score(spark):
     assert quality.fit(odd(spark), labels) is None
     kept = quality.keep(odd(spark), None, 0.3)
     assert kept.columns == odd(spark).columns and kept.count() == len(ODD)
+
+
+def labelled(spark, rows):
+    docs = spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id long, text string")
+    return docs, spark.createDataFrame(sorted({(i, q) for i, _, q in rows}), "doc_id long, quality int")
+
+
+def test_quality_is_learnt_from_long_texts_only(spark):
+    free = [r.id for r in spark.range(400).filter(~held_out(F.col("id"))).limit(60).collect()]
+    good, bad = "a calm sentence about rivers and towns. ", "$$$ ### click now !!! "
+    rows = [(k, (good, bad)[n % 2] * 1200 + str(k), 1 - n % 2) for n, k in enumerate(free)]
+    network = quality.fit(*labelled(spark, rows))
+    scores = network.score([good * 20, bad * 20, good * 5000, bad * 8000])
+    assert scores[0] > 0.7 > 0.3 > scores[1] and scores[2] > 0.7 > 0.3 > scores[3]
+
+
+def test_fit_draws_the_texts_of_a_repeated_id(spark, monkeypatch):
+    taken = []
+    monkeypatch.setattr(quality.Network, "fit", lambda self, texts, goals, weights: taken.append((texts, goals)) or self)
+    rows = [(1, f"text {k}", 1) for k in range(3000)] + [(2, "same", 0)] * 2000
+    docs, labels = labelled(spark, rows)
+    quality.fit(docs, labels, rows=400)
+    texts, goals = taken.pop()
+    assert abs(sum(goals) - 200) < 60 and goals.count(0) == 1
+    quality.fit(docs.repartition(5), labels, rows=400)
+    assert taken.pop() == (texts, goals)
+    quality.fit(docs, labels, rows=400, most=500)
+    assert 500 <= sum(len(t) for t, g in zip(*taken.pop()) if g == 1) < 520
+    assert quality.fit(docs.limit(0), labels) is None
+
+
+def test_maxima_of_long_texts_are_found_in_parts():
+    network = quality.Network(4)
+    byte = quality.padded(bytes(np.random.default_rng(1).integers(32, 127, 3 * quality.PART + 77, dtype=np.uint8)))
+    same = quality.repeats(byte)
+    part = network.chunks(byte, same)
+    answers = part @ network.params["filters"]
+    best, place, held = network.tops(byte, same)
+    assert np.allclose(best, answers.max(0), atol=1e-4) and np.allclose(held, part[place])
+    assert np.allclose(answers[place, np.arange(quality.FILTERS)], best, atol=1e-4)
