@@ -26,7 +26,7 @@ BINS = 32
 # Rows on which the bins are laid, drawn by their hash whatever the size of the table.
 BIN_ROWS = 20_000
 # Rows walked down together, so that their arrays stay in the processor's cache.
-BLOCK = 1 << 15
+BLOCK = 1 << 14
 # Bytes of the sums a task holds; trees beyond it take a further scan of the level.
 LEVEL_BYTES = 64 << 20
 
@@ -96,16 +96,144 @@ def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
         yield pa.Table.from_batches(held)
 
 
-def walk(feature, cut, bins: np.ndarray, rows: int, live: np.ndarray, levels: int) -> np.ndarray:
-    """The node each live row reaches; value (f, i) is ``bins[f * rows + i]``."""
-    node = np.zeros(len(live), np.int64)
-    offset = feature.astype(np.int64) * rows
+# Levels below a place of the tree that one 64-bit word of open leaves covers.
+WORD_LEVELS = 6
+# Places of a table for two features, so that it stays in the processor's cache.
+PAIR_PLACES = 4096
+
+
+def pairs_of(sizes: list[int]) -> list[tuple[int, ...]]:
+    """Features are looked up two at a time, an odd one and those of many bins alone."""
+    out, f = [], 0
+    while f < len(sizes):
+        both = f + 1 < len(sizes) and sizes[f] * sizes[f + 1] <= PAIR_PLACES
+        out.append((f, f + 1) if both else (f,))
+        f += len(out[-1])
+    return out
+
+
+def pair_places(bins: np.ndarray, sizes: list[int]) -> list[np.ndarray]:
+    """The place of each row in the tables of ``leaf_tables``, one array per pair of features."""
+    out = []
+    for pair in pairs_of(sizes):
+        place = bins[pair[0]].astype(np.int64)
+        if len(pair) == 2:
+            place *= sizes[pair[1]]
+            place += bins[pair[1]]
+        out.append(place)
+    return out
+
+
+def leaf_tables(feature: np.ndarray, cut: np.ndarray, sizes: list[int], levels: int) -> tuple[int, list[np.ndarray]]:
+    """What ``leaves`` needs of one tree: the levels to be walked, and a table per pair of features.
+
+    A row reaches the lowest leaf that none of its nodes rules out: a node whose value is
+    above the cut rules out all leaves on its left. What the nodes of a feature rule out
+    follows from the row's bin of it, so a table gives for a pair of bins the leaves left, as
+    the bits of a word. Of more than ``WORD_LEVELS`` levels the first are walked, and
+    each place there has a part of the tables to itself.
+    """
+    head = max(0, levels - WORD_LEVELS)
+    depth = levels - head
+    every = np.uint64(2**64 - 1)
+    words = [np.full((1 << head, size), every) for size in sizes]
+    for level in range(depth):
+        nodes = np.arange(1 << (head + level))
+        root, within = nodes >> level, nodes & ((1 << level) - 1)
+        node = nodes + (1 << (head + level)) - 1
+        # The leaves on the left of a node are a run of ``half`` bits.
+        half = 1 << (depth - level - 1)
+        run = np.uint64((1 << half) - 1)
+        keep = every ^ (run << (within * 2 * half).astype(np.uint64))
+        for f, size in enumerate(sizes):
+            of = feature[node] == f
+            if of.any():
+                ruled = np.where(np.arange(size) > cut[node[of]][:, None], keep[of][:, None], every)
+                np.bitwise_and.at(words[f], root[of], ruled)
+    tables = []
+    for pair in pairs_of(sizes):
+        table = words[pair[0]]
+        if len(pair) == 2:
+            table = (table[:, :, None] & words[pair[1]][:, None, :]).reshape(1 << head, -1)
+        tables.append(table)
+    return head, tables
+
+
+class Room:
+    """Arrays by name that are used again for every tree and block: new ones of this size
+    cost more than what is done with them."""
+
+    def __init__(self):
+        self._held: dict[str, np.ndarray] = {}
+
+    def __call__(self, name: str, n: int, kind: type = np.int64) -> np.ndarray:
+        if len(self._held.get(name, ())) < n:
+            self._held[name] = np.empty(max(n, 2 * BLOCK), kind)
+        return self._held[name][:n]
+
+
+def leaves(
+    feature: np.ndarray,
+    cut: np.ndarray,
+    head: int,
+    tables: list[np.ndarray],
+    bins: np.ndarray,
+    places: list[np.ndarray],
+    room: Room,
+) -> np.ndarray:
+    """The place, from 0 on the left, that each row reaches on the level below the tree's last.
+
+    ``bins`` has a row per feature and ``places`` are those of ``pair_places``. The answer
+    is in an array of ``room`` that the next call overwrites.
+    """
+    n = bins.shape[1]
+    node, at = room("node", n), room("at", n)
+    left, other = room("left", n, np.uint64), room("other", n, np.uint64)
+    if head:
+        walk(feature, cut, bins, head, node, room)
+    for k, (table, place) in enumerate(zip(tables, places)):
+        if head:
+            np.multiply(node, table.shape[1], out=at)
+            at += place
+            place = at
+        look(table.ravel(), place, other if k else left)
+        if k:
+            left &= other
+    # The lowest of the bits left.
+    np.invert(left, out=other)
+    left -= np.uint64(1)
+    other &= left
+    lowest = np.bitwise_count(other, out=room("lowest", n, np.uint8))
+    if not head:
+        np.copyto(node, lowest)
+        return node
+    node <<= (len(feature) + 1).bit_length() - 1 - head
+    node += lowest
+    return node
+
+
+def walk(feature, cut, bins: np.ndarray, levels: int, node: np.ndarray, room: Room) -> None:
+    """Set ``node`` to the place each row reaches on level ``levels``."""
+    n = bins.shape[1]
+    flat, every, at, value = bins.ravel(), room("every", n), room("at", n), room("value", n, bins.dtype.type)
+    every[:] = np.arange(n)
+    start, limit = feature.astype(np.int64) * n, room("limit", n)
+    node[:] = 0
     for _ in range(levels):
-        right = bins[offset[node] + live] > cut[node]
+        look(start, node, at)
+        at += every
+        look(flat, at, value)
+        look(cut, node, limit)
+        right = value > limit
         node += node
         node += 1
         node += right
-    return node
+    node -= (1 << levels) - 1
+
+
+def look(values: np.ndarray, places: np.ndarray, out: np.ndarray | None = None) -> np.ndarray:
+    """``values[places]`` for places that are known to be inside."""
+    return values.take(places, mode="clip", out=out)
 
 
 def best_cuts(sums: np.ndarray, min_rows: int) -> tuple[int, int, float, np.ndarray] | None:
@@ -133,47 +261,61 @@ def node_sums(rows: DataFrame, state: dict) -> DataFrame:
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         s = shipped.value
-        held, sums, times = s["held"], {}, draws_per_row()
-        first = (1 << s["level"]) - 1
+        held, sums, times = s["held"], {}, draws_per_row().astype(np.uint8)
+        levels, inner = s["level"], (1 << s["level"]) - 1
         width = s["subset"].shape[2]
         cells = BINS * 2
+        sizes, room = [BINS] * len(s["columns"]), Room()
+        # Where a node's counts begin, negative for nodes that are not open.
+        start = s["open"] * cells
+        ways = {t: leaf_tables(s["feature"][t, :inner], s["cut"][t, :inner], sizes, levels) for t in s["trees"]}
         for table in blocks(batches):
             n = table.num_rows
-            bins = np.concatenate([table.column(c).to_numpy() for c in s["columns"]]).astype(np.uint8)
+            bins = np.stack([table.column(c).to_numpy() for c in s["columns"]]).astype(np.uint8)
+            places = pair_places(bins, sizes)
             label = table.column("label").to_numpy().astype(np.int64)
-            # Place of a row's count among those of a feature.
-            cell = (bins.reshape(-1, n).astype(np.int64) * 2 + label).ravel()
+            # Place of a row's count among those of a feature; a row's features stand together.
+            cell = np.ascontiguousarray((bins.astype(np.int64) * 2 + label).T).ravel()
             hashed = table.column("draw").to_numpy().view(np.uint64)
             fold = table.column("fold").to_numpy()
-            bits, of = None, -1
+            each, of, seen_by, seen = np.arange(n) * len(sizes), -1, None, None
+            number, drawn, place = room("number", n), room("drawn", n, np.uint8), room("place", n)
             for t in s["trees"]:
                 # 64 bits of a row serve four trees.
                 if t // 4 != of:
                     of = t // 4
                     bits = mixed_bits(hashed ^ mixed_bits(np.full(1, (s["seed"] << 32) + of + 1, np.uint64)))
-                drawn = times[(bits >> np.uint64(16 * (t % 4))) & np.uint64(0xFFFF)]
+                    bits = bits.astype("<u8", copy=False).view("<u2").reshape(n, 4)
+                np.copyto(number, bits[:, t % 4])
+                look(times, number, drawn)
                 if held[t] >= 0:
-                    drawn = np.where(fold == held[t], 0.0, drawn)
-                live = np.flatnonzero(drawn)
-                node = walk(s["feature"][t], s["cut"][t], bins, n, live, s["level"]) - first
-                place = s["open"][t][node]
-                inside = place >= 0
-                if not inside.all():
-                    live, place, node = live[inside], place[inside], node[inside]
-                if not len(live):
+                    if held[t] != seen_by:
+                        seen_by, seen = held[t], (fold != held[t]).astype(np.uint8)
+                    drawn *= seen
+                node = leaves(s["feature"][t, :inner], s["cut"][t, :inner], *ways[t], bins, places, room)
+                look(start[t], node, place)
+                live = np.flatnonzero((drawn > 0) & (place >= 0))
+                m = len(live)
+                if not m:
                     continue
-                weight = drawn[live]
-                size = int(s["count"][t]) * width * cells
+                begin, row = look(place, live, room("begin", m)), look(each, live, room("row", m))
+                weight = room("weight", m, float)
+                np.copyto(weight, look(drawn, live, room("drawn_live", m, np.uint8)))
+                node = look(node, live, room("node_live", m))
+                size = int(s["count"][t]) * cells
                 if t not in sums:
-                    sums[t] = np.zeros(size)
+                    sums[t] = np.zeros((width, size))
+                at, one = room("at", m), room("one", m)
                 for j in range(width):
-                    feature = s["subset"][t, :, j][first + node]
-                    at = (place * width + j) * cells + cell[feature * n + live]
-                    sums[t] += np.bincount(at, weight, minlength=size)
+                    look(s["subset"][t, inner : 2 * inner + 1, j], node, at)
+                    at += row
+                    look(cell, at, one)
+                    one += begin
+                    sums[t][j] += np.bincount(one, weight, minlength=size)
         for t, total in sums.items():
             nodes = np.flatnonzero(s["open"][t] >= 0)
             nodes = nodes[np.argsort(s["open"][t][nodes])]
-            each = total.astype(np.int64).reshape(len(nodes), -1)
+            each = total.astype(np.int64).reshape(width, len(nodes), cells).swapaxes(0, 1).reshape(len(nodes), -1)
             met = each.any(axis=1)
             yield pa.record_batch(
                 [
@@ -342,6 +484,23 @@ def _forest(features, edges, feature, cut, counts, gains) -> Forest:
     )
 
 
+def _lookup(feature: np.ndarray, cut: np.ndarray, late: np.ndarray) -> tuple[list, list[int], list[tuple]]:
+    """A forest for ``leaves``: the cuts of each feature as edges of bins, their numbers, and the trees."""
+    used = int(feature.max(initial=0)) + 1
+    edges = [np.unique(cut[(feature == f) & (cut < np.inf)]) for f in range(used)]
+    sizes = [len(edge) + 1 for edge in edges]
+    numbers = np.full(cut.shape, max(sizes))
+    for f, edge in enumerate(edges):
+        of = (feature == f) & (cut < np.inf)
+        numbers[of] = np.searchsorted(edge, cut[of])
+    depth = (feature.shape[1] + 1).bit_length() - 1
+    trees = [
+        (share, nodes, at, *leaf_tables(nodes, at, sizes, depth))
+        for share, nodes, at in zip(late, feature, numbers)
+    ]
+    return edges, sizes, trees
+
+
 def probability(df: DataFrame, forests: list[Forest], fold: Column | None = None) -> Column:
     """The mean share of label 1 over a forest's trees, null where a feature is null.
 
@@ -351,20 +510,24 @@ def probability(df: DataFrame, forests: list[Forest], fold: Column | None = None
 
     @F.pandas_udf("double")
     def late(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
+        ready, room = [_lookup(*parts) for parts in shipped.value], Room()
         for *columns, which in batches:
             values = np.stack([c.to_numpy(float) for c in columns])
             which = which.to_numpy()
             out = np.empty(len(which))
-            for number, (feature, cut, share) in enumerate(shipped.value):
+            for number, (edges, sizes, trees) in enumerate(ready):
                 at = np.flatnonzero(which == number)
                 for begin in range(0, len(at), BLOCK):
                     rows = at[begin : begin + BLOCK]
-                    flat, every = values[:, rows].ravel(), np.arange(len(rows))
+                    # A value that is no number is above no cut.
+                    bins = np.stack([
+                        np.where(np.isnan(v), 0, np.searchsorted(edge, v)) for edge, v in zip(edges, values[:, rows])
+                    ])
+                    places = pair_places(bins, sizes)
                     total = np.zeros(len(rows))
-                    for t in range(len(feature)):
-                        depth = (feature.shape[1] + 1).bit_length() - 1
-                        total += share[t][walk(feature[t], cut[t], flat, len(rows), every, depth) - feature.shape[1]]
-                    out[rows] = total / len(feature)
+                    for share, *tree in trees:
+                        total += look(share, leaves(*tree, bins, places, room))
+                    out[rows] = total / len(trees)
             yield pd.Series(out)
 
     inputs = [F.col(c).cast("double") for c in forests[0].features]

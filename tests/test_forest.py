@@ -118,3 +118,30 @@ def test_missing_features_have_no_score_and_models_survive_saving(rows, tmp_path
     assert same(model, again) and again.features == COLUMNS
     scored = classify.score_late_risk(again, holed)
     assert scored.filter("late_probability is null and predicted_late is null").count() == 10
+
+
+@pytest.mark.parametrize("levels", [0, 1, 5, 6, 7, 8])
+def test_leaves_looked_up_are_those_walked_to(levels):
+    """Also below more levels than a word of leaves covers, and where nodes are not divided."""
+    rng = np.random.default_rng(levels)
+    sizes, n, inner = [7, 32, 5], 3000, (1 << levels) - 1
+    bins = np.stack([rng.integers(0, size, n) for size in sizes])
+    feature = rng.integers(0, 3, inner)
+    cut = np.where(rng.random(inner) < 0.2, 32, rng.integers(0, 32, inner) % np.array(sizes)[feature])
+    found = forest.leaves(
+        feature, cut, *forest.leaf_tables(feature, cut, sizes, levels), bins, forest.pair_places(bins, sizes), forest.Room()
+    )
+    node = np.zeros(n, int)
+    for _ in range(levels):
+        node = 2 * node + 1 + (bins[feature[node], np.arange(n)] > cut[node])
+    assert (found == node - inner).all()
+
+
+def test_scores_of_values_on_cuts_and_of_no_number(spark):
+    model = forest.Forest(
+        ["a", "b"], np.array([[0, 1, 1]], np.int32), np.array([[1.5, np.inf, -2.0]]), np.array([[0.1, 0.2, 0.3, 0.4]]), np.zeros(2)
+    )
+    rows = [(1.5, 9.0, 0.1), (1.6, -2.0, 0.3), (1.6, -1.9, 0.4), (float("nan"), 0.0, 0.1), (float("inf"), float("nan"), 0.3)]
+    df = spark.createDataFrame(rows, "a double, b double, expected double")
+    scored = classify.score_late_risk(model, df).collect()
+    assert [r["late_probability"] for r in scored] == [r["expected"] for r in scored]
