@@ -151,7 +151,7 @@ def trained(spark: SparkSession, sf_dir: str, **settings):
 @query
 def read_orders_csv(spark, sf_dir):
     path = shared_folder(spark, "orders-csv")
-    orders_csv.write_orders_csv(raw(spark, sf_dir).drop(*LINE_KEY), path)
+    orders_csv.write_orders_csv(raw(spark, sf_dir).drop(*LINE_KEY), path, "gzip")
     return cleaning.tidy_rows(orders_csv.read_orders_csv(spark, path))
 
 

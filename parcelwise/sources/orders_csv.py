@@ -108,9 +108,14 @@ def read_orders_csv(
     return blank_to_null(_reader(spark, multiline).schema(layout).option("enforceSchema", False).csv(path))
 
 
-def write_orders_csv(df: DataFrame, path: str) -> None:
-    """Write a frame in the layout ``read_orders_csv`` reads."""
-    (
+# Rows in a compressed file: readers cannot split it, so one task reads that many.
+FILE_ROWS = 1_000_000
+
+
+def write_orders_csv(df: DataFrame, path: str, compression: str | None = None) -> None:
+    """Write a frame in the layout ``read_orders_csv`` reads, as ``.csv`` files, or under the
+    name of a ``compression`` such as gzip, which readers know by the ending of the files."""
+    writer = (
         df.write.mode("overwrite")
         .option("header", True)
         .option("encoding", "ISO-8859-1")
@@ -118,5 +123,7 @@ def write_orders_csv(df: DataFrame, path: str) -> None:
         # Names of raw columns end in blanks; readers check them as they are.
         .option("ignoreLeadingWhiteSpace", False)
         .option("ignoreTrailingWhiteSpace", False)
-        .csv(path)
     )
+    if compression:
+        writer = writer.option("compression", compression).option("maxRecordsPerFile", FILE_ROWS)
+    writer.csv(path)

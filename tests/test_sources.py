@@ -4,7 +4,7 @@ import pytest
 
 from parcelwise.operators import adhoc, clean
 from parcelwise.session import shared_folder
-from parcelwise.sources import orders_csv, runs, tables
+from parcelwise.sources import benchmark_tables, orders_csv, runs, tables
 
 from .frames import RAW_COLUMNS, raw_rows
 
@@ -141,3 +141,16 @@ def test_rows_that_do_not_fit_are_told(spark, tmp_path):
     # The same whichever columns are asked for.
     assert found.rows.select("Sales").count() == found.rows.count() == len(good)
     assert found.rejected.count() == len(bad) == found.rejected.select("file").count()
+
+
+def test_compressed_order_files_hold_the_same_rows_in_files_of_bounded_size(spark, tiny, tmp_path, monkeypatch):
+    monkeypatch.setattr(orders_csv, "FILE_ROWS", 1000)
+    rows = benchmark_tables.raw_orders(spark, tiny).coalesce(1).persist()
+    orders_csv.write_orders_csv(rows, str(tmp_path / "plain"))
+    orders_csv.write_orders_csv(rows, str(tmp_path / "packed"), "gzip")
+    plain, packed = [orders_csv.read_orders_csv(spark, str(tmp_path / name)) for name in ("plain", "packed")]
+    assert packed.count() == rows.count() and plain.exceptAll(packed).count() == 0
+    files = list((tmp_path / "packed").glob("*.csv.gz"))
+    assert len(files) == -(-rows.count() // 1000)
+    size = lambda name: sum(f.stat().st_size for f in (tmp_path / name).glob("*.csv*"))
+    assert size("packed") < size("plain") / 3
