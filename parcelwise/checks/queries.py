@@ -26,7 +26,7 @@ from ..operators import (
 )
 from ..plans import ingest
 from ..sources import benchmark_tables, models, orders_csv, runs, tables
-from ..session import apply_settings, shared_folder
+from ..session import apply_settings, fit_partitions, shared_folder
 from ..sources.benchmark_tables import LINE_KEY
 
 REGION = "NATION_3"
@@ -47,7 +47,9 @@ def query(function):
 
 
 def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return benchmark_tables.raw_orders(apply_settings(spark), sf_dir)
+    rows = benchmark_tables.raw_orders(apply_settings(spark), sf_dir)
+    fit_partitions(rows)
+    return rows
 
 
 def named(spark: SparkSession, sf_dir: str) -> DataFrame:

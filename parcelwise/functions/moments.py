@@ -29,4 +29,8 @@ def whole_days(start: Column, end: Column) -> Column:
 
 
 def month_label(c: Column) -> Column:
-    return F.date_format(F.to_date(c), "yyyy-MM")
+    """``yyyy-MM``. The years that have four digits are put together from numbers, which costs
+    a fraction of the formatter that the others take."""
+    year, month = F.year(c), F.month(c)
+    digits = F.concat(F.lpad(year.cast("string"), 4, "0"), F.lit("-"), F.lpad(month.cast("string"), 2, "0"))
+    return F.when(year.between(1, 9999), digits).otherwise(F.date_format(F.to_date(c), "yyyy-MM"))

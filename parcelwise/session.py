@@ -14,6 +14,9 @@ SETTINGS = {
     # Small inputs are split over all cores, too; large splits keep their size.
     "spark.sql.files.openCostInBytes": "524288",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # Keys and numbers are shuffled and names join them behind it, so a task's rows are many
+    # times what it reads: what removes copies holds them all.
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16m",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Split a hot join key even when a later step then has to shuffle again.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
@@ -29,11 +32,12 @@ MB = 1024**2
 def sizing(input_bytes: float) -> dict[str, str]:
     """Partition sizes for an input of this many bytes.
 
-    About half a gigabyte of input per shuffle partition fits an executor core's
-    memory; AQE merges what turns out small. Input splits grow with the input, as
-    the number of shuffle blocks is splits times shuffle partitions.
+    Of compressed input, 8 MB per shuffle partition are a few hundred thousand wide rows,
+    which fit an executor core's memory; AQE merges what turns out small. From 2000
+    partitions on they grow up to half a gigabyte, as the number of shuffle blocks is
+    splits times shuffle partitions. Input splits grow with the input, too.
     """
-    partitions = max(int(input_bytes / (512 * MB)), 200)
+    partitions = max(int(input_bytes / (512 * MB)), min(int(input_bytes / (8 * MB)), 2000), 200)
     split = max(int(input_bytes / 200_000), 128 * MB)
     return {
         "spark.sql.shuffle.partitions": str(partitions),
@@ -68,7 +72,7 @@ def fit_partitions(df: DataFrame) -> None:
     """Raise the session's shuffle partitions and splits to what the files of ``df`` need."""
     spark = df.sparkSession
     size = input_size(df)
-    if size < 200 * 512 * MB:
+    if size < 200 * 8 * MB:
         return
     for key, value in sizing(size).items():
         now = spark.conf.get(key, "0").rstrip("b")
