@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..functions.numeric import WeightedTotal, exact_avg, money_sum, round_half_away
 
+# A month's products are added up in parts, one for so many shuffle partitions.
+PARTITIONS_PER_BUCKET = 50
 SALES, PROFIT = WeightedTotal("sales_amount"), WeightedTotal("profit")
 
 
@@ -22,20 +24,34 @@ def monthly_risk_by_region(fact: DataFrame) -> DataFrame:
     )
 
 
+def _wanted(fact: DataFrame) -> DataFrame:
+    """What the department KPIs need of the facts."""
+    return fact.filter(F.col("product_id").isNotNull()).select(
+        "product_id", "year_month", "late_risk_flag", "sales_amount", "profit"
+    )
+
+
+def _states(rows: DataFrame, *keys: str) -> DataFrame:
+    return rows.groupBy(*keys).agg(
+        F.count("*").alias("_orders"),
+        F.count("late_risk_flag").alias("_flags"),
+        F.sum("late_risk_flag").alias("_late"),
+        *SALES.partial(),
+        *PROFIT.partial(),
+    )
+
+
 def product_months(fact: DataFrame) -> DataFrame:
     """Partial sums of the department KPIs, one row per product and month. States of a month
-    are a function of that month's facts, and adding up states gives those of both."""
-    return (
-        fact.filter(F.col("product_id").isNotNull())
-        .groupBy("product_id", "year_month")
-        .agg(
-            F.count("*").alias("_orders"),
-            F.count("late_risk_flag").alias("_flags"),
-            F.sum("late_risk_flag").alias("_late"),
-            *SALES.partial(),
-            *PROFIT.partial(),
-        )
-    )
+    are a function of that month's facts, and adding up states gives those of both.
+
+    Products have few orders a month, and a state is wider than an order. So orders are
+    shuffled as they are, a month's in a few parts, and states come out by month.
+    """
+    buckets = max(1, int(fact.sparkSession.conf.get("spark.sql.shuffle.partitions")) // PARTITIONS_PER_BUCKET)
+    bucket = F.pmod(F.xxhash64("product_id"), F.lit(buckets)).cast("int")
+    dealt = _wanted(fact).withColumn("_bucket", bucket).repartition("year_month", "_bucket")
+    return _states(dealt, "product_id", "year_month", "_bucket").drop("_bucket")
 
 
 def departments_of(states: DataFrame, dim_product: DataFrame) -> DataFrame:
@@ -64,8 +80,11 @@ def department_kpis(fact: DataFrame, dim_product: DataFrame) -> DataFrame:
     Facts are added up per product and month, and products counted per
     department, before they meet. A product with many orders or many versions
     then brings few rows to the join, and its orders still count once per version.
+    Orders are shuffled once, as they are and by product alone: sums per product and month
+    are wider than the orders behind them, and the join needs them by product.
     """
-    return departments_of(product_months(fact), dim_product)
+    dealt = _wanted(fact).repartition("product_id")
+    return departments_of(_states(dealt, "product_id", "year_month"), dim_product)
 
 
 def top_risk_region_months(monthly: DataFrame, n: int = 5) -> DataFrame:

@@ -97,6 +97,37 @@ def test_hot_products_meet_their_departments_as_a_few_rows(spark, fact, products
     assert below_join.count("HashAggregate") >= 4
 
 
+def test_department_kpis_shuffle_orders_once_and_not_their_sums(fact, products):
+    plain = kpi.department_kpis(fact, products)
+    tree = plan(plain).split("\n\n")[0]
+    # The scan of the facts is the first; between it and the join stands one exchange.
+    facts = tree[tree.index("Join"): tree.index("Scan parquet")]
+    assert facts.count("Exchange") == 1
+    assert facts.index("HashAggregate") < facts.rindex("HashAggregate") < facts.index("Exchange")
+
+
+def test_product_states_come_out_by_month_and_equal_a_plain_sum(fact):
+    states = kpi.product_months(fact)
+    text = plan(states)
+    assert text.split("\n\n")[0].count("Exchange") == 1 and "hashpartitioning(year_month" in text
+    found = {(r["product_id"], r["year_month"], r["_orders"], r["_late"]) for r in states.collect()}
+    rows = fact.groupBy("product_id", "year_month").agg(F.count("*"), F.sum("late_risk_flag")).collect()
+    assert found == {tuple(r) for r in rows} and len(rows) == states.count()
+
+
+def test_clean_orders_are_written_without_a_further_shuffle(spark, tmp_path):
+    rows = spark.range(0, 400, 1, 4).select("id", (F.col("id") % 3 + 2020).cast("int").alias("order_year"))
+    tables.write_clean_parquet(rows, str(tmp_path))
+    # Each of the four tasks writes its own file of each year.
+    assert len(list(tmp_path.glob("order_year=*/*.zstd.parquet"))) == 12
+    assert sorted(r["id"] for r in spark.read.parquet(str(tmp_path)).collect()) == list(range(400))
+
+
+def test_partitions_follow_the_rows_that_remove_copies():
+    assert int(sizing(8e9)["spark.sql.shuffle.partitions"]) > 900
+    assert int(sizing(500e9)["spark.sql.shuffle.partitions"]) == 2000
+
+
 def test_no_operator_plans_a_product_of_tables(fact, products):
     results = [
         kpi.department_kpis(fact, products),
