@@ -40,7 +40,7 @@ def publish_star(clean: DataFrame, folder: str) -> None:
     for name, df in star.star_tables(clean).items():
         tables.publish_table(df, name, folder, [MONTH] if name == FACT else None)
     for name, df in kpi_states(versions.current(spark, FACT, folder)).items():
-        tables.publish_table(df, name, folder, [MONTH])
+        tables.publish_table(df, name, folder, [MONTH], dealt=name == PRODUCT_STATES)
 
 
 def refresh_star(clean: DataFrame, months: list[str | None], folder: str) -> None:

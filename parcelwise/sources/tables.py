@@ -76,15 +76,17 @@ def publish_table(
     name: str,
     folder: str | None = None,
     partition_by: list[str] | None = None,
+    dealt: bool = False,
 ) -> None:
     """Create or replace a catalog table in one step, kept under ``folder`` (the warehouse
     unless given): readers see the old version until the new one is whole, and a write that
-    fails leaves the old one. ``partition_by`` names one column at most."""
+    fails leaves the old one. ``partition_by`` names one column at most; ``dealt`` says that
+    the rows lie together by it already."""
     keys = partition_by or []
     if len(keys) > 1:
         raise ValueError("published tables are partitioned by one column")
     folder = folder or df.sparkSession.conf.get("spark.sql.warehouse.dir")
-    versions.publish(df, name, folder, keys[0] if keys else None)
+    versions.publish(df, name, folder, keys[0] if keys else None, dealt)
 
 
 def publish_view(df: DataFrame, name: str) -> None:

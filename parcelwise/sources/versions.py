@@ -142,8 +142,8 @@ def _clean_up(spark: SparkSession, root: str, name: str, found: list[Version]) -
         _delete(spark, f"{root}/_manifests/{version.id}.json")
 
 
-def _write(df: DataFrame, place: str, key: str | None) -> dict[str | None, str]:
-    writer = (df.hint("rebalance", key) if key else df).write.mode("errorifexists")
+def _write(df: DataFrame, place: str, key: str | None, dealt: bool = False) -> dict[str | None, str]:
+    writer = (df.hint("rebalance", key) if key and not dealt else df).write.mode("errorifexists").option("compression", "zstd")
     if key is None:
         writer.parquet(place)
         return {None: place}
@@ -159,12 +159,12 @@ def _write(df: DataFrame, place: str, key: str | None) -> dict[str | None, str]:
 
 
 def _publish(
-    df: DataFrame, name: str, folder: str, key: str | None, keep_parts: dict, found: list[Version]
+    df: DataFrame, name: str, folder: str, key: str | None, keep_parts: dict, found: list[Version], dealt: bool = False
 ) -> Version:
     spark, root = df.sparkSession, _root(folder, name)
     number = max(time.time_ns() // 1_000_000, int(found[-1].id[1:14]) + 1 if found else 0)
     version_id = f"v{number:013d}_{uuid.uuid4().hex[:8]}"
-    written = _write(df, f"{root}/{version_id}", key)
+    written = _write(df, f"{root}/{version_id}", key, dealt)
     order = [f for f in df.schema.fields if f.name != key] + [f for f in df.schema.fields if f.name == key]
     version = Version(version_id, T.StructType(order), key, {**keep_parts, **written})
     _commit(spark, root, version)
@@ -173,9 +173,12 @@ def _publish(
     return version
 
 
-def publish(df: DataFrame, name: str, folder: str, partition_by: str | None = None) -> Version:
-    """Make ``df`` the whole content of the published table ``name``."""
-    return _publish(df, name, folder, partition_by, {}, manifests(df.sparkSession, folder, name))
+def publish(
+    df: DataFrame, name: str, folder: str, partition_by: str | None = None, dealt: bool = False
+) -> Version:
+    """Make ``df`` the whole content of the published table ``name``. Rows that are ``dealt``
+    out by ``partition_by`` already are written as they lie, without a further shuffle."""
+    return _publish(df, name, folder, partition_by, {}, manifests(df.sparkSession, folder, name), dealt)
 
 
 def replace_parts(df: DataFrame, name: str, folder: str, partition_by: str, values: list) -> Version:
