@@ -38,6 +38,8 @@ SELECTORS = [
     (6, 10), (5, 12), (4, 15), (3, 20), (2, 30), (1, 60),
 ]
 ESCAPE = 15
+# Ids in a word, by selector.
+PLACES = np.array([count for count, _ in SELECTORS] + [1, 1])
 MAGIC = b"S8BIDS01"
 BLOCK = 16_384
 # Ids in one file at most, unless one document has more: bounds what a reader's footer holds.
@@ -49,7 +51,7 @@ INDEX = "doc_id long, start long, n_tokens long, ids_crc32 long"
 
 def encode_block(ids: np.ndarray) -> np.ndarray:
     """Words of up to a few ten thousand ids (unsigned integers of any size)."""
-    ids = np.ascontiguousarray(ids, dtype=np.uint64)
+    ids = np.ascontiguousarray(ids)
     n = len(ids)
     if n == 0:
         return np.zeros(0, np.uint64)
@@ -57,33 +59,42 @@ def encode_block(ids: np.ndarray) -> np.ndarray:
     top = int(ids.max())
     # ``over`` counts the ids before each place that need more bits; places past the end need none.
     over = np.zeros(n + 61, np.int32)
+    # Narrow ids are compared as they are.
+    narrow = ids if top >> 32 else ids.astype(np.uint32)
     for s in range(len(SELECTORS) - 1, -1, -1):
         count, bits = SELECTORS[s]
         if not top >> bits:
             selector[:] = s
             continue
-        np.cumsum(ids >= np.uint64(1 << bits), out=over[1 : n + 1], dtype=np.int32)
+        np.cumsum(narrow >= narrow.dtype.type(1 << bits), out=over[1 : n + 1], dtype=np.int32)
         over[n + 1 :] = over[n]
         fits = over[count : n + count] == over[:n]
         if not fits.any():
             break
-        selector[fits] = s
-    counts = [c for c, _ in SELECTORS] + [1, 1]
-    steps, at, starts = selector.tolist(), 0, []
+        np.copyto(selector, s, where=fits)
+    steps, at, starts = PLACES[selector].tolist(), 0, []
+    step = starts.append
     while at < n:
-        starts.append(at)
-        at += counts[steps[at]]
+        step(at)
+        at += steps[at]
     starts = np.array(starts)
     chosen = selector[starts]
     place = np.arange(len(starts)) + np.concatenate([[0], np.cumsum(chosen == ESCAPE)[:-1]])
     words = np.zeros(len(starts) + int((chosen == ESCAPE).sum()), np.uint64)
-    padded = np.concatenate([ids, np.zeros(60, np.uint64)])
+    padded = np.concatenate([ids.astype(np.uint64, copy=False), np.zeros(60, np.uint64)])
     for s, (count, bits) in enumerate(SELECTORS):
-        mine = chosen == s
-        if mine.any():
-            parts = padded[starts[mine][:, None] + np.arange(count)]
-            shifted = parts << (np.arange(count, dtype=np.uint64) * np.uint64(bits))
-            words[place[mine]] = np.bitwise_or.reduce(shifted, axis=1) | np.uint64(s << 60)
+        mine = np.flatnonzero(chosen == s)
+        if len(mine):
+            first = starts[mine]
+            if count > 4 * len(mine):
+                parts = padded[first[:, None] + np.arange(count)]
+                word = np.bitwise_or.reduce(parts << (np.arange(count, dtype=np.uint64) * np.uint64(bits)), axis=1)
+            else:
+                # Few places of many words: one place of all of them at a time.
+                word = padded[first]
+                for k in range(1, count):
+                    word |= padded[first + k] << np.uint64(k * bits)
+            words[place[mine]] = word | np.uint64(s << 60)
     mine = chosen == ESCAPE
     words[place[mine]] = np.uint64(ESCAPE << 60)
     words[place[mine] + 1] = ids[starts[mine]]
