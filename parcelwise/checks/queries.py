@@ -136,9 +136,10 @@ def forecasts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def model_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Classifier input with its row key, stored: training reads it many times."""
-    encoded = classify.encode_region(stored_keyed_fact(spark, sf_dir))
-    return tables.stage(classify.classifier_features(encoded, keep=tuple(LINE_KEY)), "model-rows")
+    """Classifier input with its row key, from a stored copy of the columns it needs."""
+    needed = [*LINE_KEY, *[c for c in classify.FEATURES if c != "region_encoded"], "region_name", classify.LABEL]
+    facts = tables.stage(keyed_fact(spark, sf_dir).select(*needed), "keyed-fact")
+    return classify.classifier_features(classify.encode_region(facts), keep=tuple(LINE_KEY))
 
 
 def trained(spark: SparkSession, sf_dir: str, **settings):

@@ -77,7 +77,8 @@ def label_place(df: DataFrame, key: list[str], seed: int, label: str = LABEL) ->
     Draws have ``DRAWS`` values and rows with one draw share a place, so the counts per
     label and draw are a small table whatever the number of rows. A label of few rows has
     about one row per place: its places run through 0, 1, 2, ... and every share and fold
-    gets its part of it. ``df`` is read twice; pass a stored table.
+    gets its part of it. The counts are stored, so that Spark knows their size and need not
+    shuffle the rows to meet them. ``df`` is read twice; pass a stored table or a scan of one.
     """
     drawn = df.withColumn("_draw", draw(key_text(key), DRAWS, seed))
     before = Window.partitionBy(label).orderBy("_draw").rowsBetween(Window.unboundedPreceding, -1)
@@ -91,7 +92,7 @@ def label_place(df: DataFrame, key: list[str], seed: int, label: str = LABEL) ->
         )
     )
     same = F.col(label).eqNullSafe(F.col("_label")) & (F.col("_draw") == F.col("_at"))
-    return drawn.join(places, same).drop("_draw", "_label", "_at")
+    return drawn.join(stage(places, "places"), same).drop("_draw", "_label", "_at")
 
 
 def stratified_split(

@@ -2,10 +2,14 @@
 
 A level of all trees is one scan: each task adds its rows up per tree, open node, feature,
 bin and label, the sums meet by node, and one row per node, its best cut, comes back. No
-row knows its node between levels; a task walks it down the trees grown so far. How often
+row knows its node between levels; a task finds it in the trees grown so far. How often
 a tree draws a row follows from the row's own hash, and counts are whole numbers, so the
 same rows give the same forest under any partitioning, retry or cluster size.
 
+Rows that agree in all bins and the label take the same way down every tree. They are
+stored next to each other, and a run of them is added up as one, with the sum of its
+draws: there are at most as many as combinations of bins, however many rows there are.
+
 Several forests, each without one fold of the rows, are more trees of the same scans.
 """
 
@@ -25,8 +29,10 @@ from ..sources.tables import stage
 BINS = 32
 # Rows on which the bins are laid, drawn by their hash whatever the size of the table.
 BIN_ROWS = 20_000
-# Rows walked down together, so that their arrays stay in the processor's cache.
+# Rows, or runs of alike ones, handled together, so that their arrays stay in the processor's cache.
 BLOCK = 1 << 14
+# Most rows of a run, so that the sum of their draws fits 16 bits.
+RUN = 1 << 12
 # Bytes of the sums a task holds; trees beyond it take a further scan of the level.
 LEVEL_BYTES = 64 << 20
 
@@ -62,10 +68,14 @@ def draws_per_row() -> np.ndarray:
 
 def mixed_bits(x: np.ndarray) -> np.ndarray:
     """Spread 64-bit numbers; every output bit depends on every input bit."""
+    shifted = x >> np.uint64(30)
+    out = x ^ shifted
     with np.errstate(over="ignore"):
-        x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-        x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
+        out *= np.uint64(0xBF58476D1CE4E5B9)
+        out ^= np.right_shift(out, np.uint64(27), out=shifted)
+        out *= np.uint64(0x94D049BB133111EB)
+    out ^= np.right_shift(out, np.uint64(31), out=shifted)
+    return out
 
 
 def bin_edges(values: np.ndarray, bins: int = BINS) -> np.ndarray:
@@ -188,6 +198,9 @@ def leaves(
     """
     n = bins.shape[1]
     node, at = room("node", n), room("at", n)
+    if not len(feature):
+        node[:] = 0
+        return node
     left, other = room("left", n, np.uint64), room("other", n, np.uint64)
     if head:
         walk(feature, cut, bins, head, node, room)
@@ -255,13 +268,71 @@ def best_cuts(sums: np.ndarray, min_rows: int) -> tuple[int, int, float, np.ndar
     return f, b, float(gain[f, b]), np.concatenate([left[f, b], right[f, b]]).astype(np.int64)
 
 
+def run_starts(columns: list[np.ndarray]) -> np.ndarray:
+    """Where a row differs from the one before it; ``RUN`` rows at most have one start."""
+    new = np.zeros(len(columns[0]), bool)
+    new[::RUN] = True
+    for column in columns:
+        new[1:] |= column[1:] != column[:-1]
+    return np.flatnonzero(new)
+
+
+def run_draws(hashed: np.ndarray, fold: np.ndarray, starts: np.ndarray, times: np.ndarray, s: dict, room: Room) -> np.ndarray:
+    """How often each tree of a scan draws the rows of each run: a row per tree, a column per run."""
+    n, held = len(hashed), s["held"]
+    out, of, seen = np.empty((len(s["trees"]), len(starts)), np.uint16), -1, {}
+    last = np.append(starts[1:], n) - 1
+    number, drawn, upto = room("number", 4 * n), room("drawn", 4 * n, np.uint16), room("upto", n, np.uint64)
+    for i, t in enumerate(s["trees"]):
+        # 64 bits of a row serve four trees, whose draws are added up as one number.
+        if t // 4 != of:
+            of = t // 4
+            bits = mixed_bits(hashed ^ mixed_bits(np.full(1, (s["seed"] << 32) + of + 1, np.uint64)))
+            np.copyto(number, bits.astype("<u8", copy=False).view("<u2"))
+            look(times, number, drawn)
+            for k, f in enumerate(held[4 * of : 4 * of + 4]):
+                if f >= 0:
+                    if f not in seen:
+                        seen[f] = (fold != f).astype(np.uint16)
+                    drawn[k::4] *= seen[f]
+            sums = drawn.astype("<u2", copy=False).view("<u8")
+            if len(starts) < n:
+                sums = np.diff(look(np.cumsum(sums, out=upto), last), prepend=np.uint64(0)).astype("<u8", copy=False)
+            sums = sums.view("<u2").reshape(-1, 4)
+        out[i] = sums[:, t % 4]
+    return out
+
+
+def runs(batches: Iterator[pa.RecordBatch], s: dict) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Runs of rows alike in bins and label: their bins, labels and draws, some ``BLOCK`` runs at a time."""
+    times, room = draws_per_row().astype(np.uint16), Room()
+    held, n = [], 0
+
+    def joined() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        alike, drawn = (np.concatenate(part, axis=1) for part in zip(*held))
+        return alike[:-1].astype(np.uint8), alike[-1].astype(np.int64), drawn
+
+    for table in blocks(batches):
+        columns = [table.column(c).to_numpy() for c in (*s["columns"], "label")]
+        hashed, fold = table.column("draw").to_numpy().view(np.uint64), table.column("fold").to_numpy()
+        starts = run_starts(columns)
+        if n and n + len(starts) > BLOCK:
+            yield joined()
+            held, n = [], 0
+        alike = np.stack([column[starts] for column in columns])
+        held.append((alike, run_draws(hashed, fold, starts, times, s, room)))
+        n += len(starts)
+    if n:
+        yield joined()
+
+
 def node_sums(rows: DataFrame, state: dict) -> DataFrame:
     """One scan: the counts of this level's open nodes, one row per task, tree and node."""
     shipped = rows.sparkSession.sparkContext.broadcast(state)
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         s = shipped.value
-        held, sums, times = s["held"], {}, draws_per_row().astype(np.uint8)
+        sums = {}
         levels, inner = s["level"], (1 << s["level"]) - 1
         width = s["subset"].shape[2]
         cells = BINS * 2
@@ -269,29 +340,13 @@ def node_sums(rows: DataFrame, state: dict) -> DataFrame:
         # Where a node's counts begin, negative for nodes that are not open.
         start = s["open"] * cells
         ways = {t: leaf_tables(s["feature"][t, :inner], s["cut"][t, :inner], sizes, levels) for t in s["trees"]}
-        for table in blocks(batches):
-            n = table.num_rows
-            bins = np.stack([table.column(c).to_numpy() for c in s["columns"]]).astype(np.uint8)
+        for bins, label, draws in runs(batches, s):
+            n = len(label)
             places = pair_places(bins, sizes)
-            label = table.column("label").to_numpy().astype(np.int64)
-            # Place of a row's count among those of a feature; a row's features stand together.
+            # Place of a run's count among those of a feature; a run's features stand together.
             cell = np.ascontiguousarray((bins.astype(np.int64) * 2 + label).T).ravel()
-            hashed = table.column("draw").to_numpy().view(np.uint64)
-            fold = table.column("fold").to_numpy()
-            each, of, seen_by, seen = np.arange(n) * len(sizes), -1, None, None
-            number, drawn, place = room("number", n), room("drawn", n, np.uint8), room("place", n)
-            for t in s["trees"]:
-                # 64 bits of a row serve four trees.
-                if t // 4 != of:
-                    of = t // 4
-                    bits = mixed_bits(hashed ^ mixed_bits(np.full(1, (s["seed"] << 32) + of + 1, np.uint64)))
-                    bits = bits.astype("<u8", copy=False).view("<u2").reshape(n, 4)
-                np.copyto(number, bits[:, t % 4])
-                look(times, number, drawn)
-                if held[t] >= 0:
-                    if held[t] != seen_by:
-                        seen_by, seen = held[t], (fold != held[t]).astype(np.uint8)
-                    drawn *= seen
+            each, place = np.arange(n) * len(sizes), room("place", n)
+            for t, drawn in zip(s["trees"], draws):
                 node = leaves(s["feature"][t, :inner], s["cut"][t, :inner], *ways[t], bins, places, room)
                 look(start[t], node, place)
                 live = np.flatnonzero((drawn > 0) & (place >= 0))
@@ -300,7 +355,7 @@ def node_sums(rows: DataFrame, state: dict) -> DataFrame:
                     continue
                 begin, row = look(place, live, room("begin", m)), look(each, live, room("row", m))
                 weight = room("weight", m, float)
-                np.copyto(weight, look(drawn, live, room("drawn_live", m, np.uint8)))
+                np.copyto(weight, look(drawn, live, room("drawn_live", m, np.uint16)))
                 node = look(node, live, room("node_live", m))
                 size = int(s["count"][t]) * cells
                 if t not in sums:
@@ -361,6 +416,9 @@ def binned_rows(
 ) -> tuple[DataFrame, list[np.ndarray]]:
     """The rows as bin numbers with label, hash and fold, stored; and the edges of the bins.
 
+    Rows alike in bins and label are brought together; the rebalance hint lets AQE deal a
+    combination of very many rows out over several tasks.
+
     ``df`` is read three times (counted, sampled, binned), so pass a stored table.
     """
     values = [F.col(c).cast("double").alias(f"b{i}") for i, c in enumerate(features)]
@@ -382,9 +440,11 @@ def binned_rows(
             ]
             yield pa.record_batch([*columns, *batch.columns[len(edges) :]], names=batch.schema.names)
 
-    names = ", ".join(f"b{i} tinyint" for i in range(len(features)))
-    binned = numbers.mapInArrow(to_bins, f"{names}, label tinyint, draw long, fold int")
-    return stage(binned, "binned"), edges
+    names = [f"b{i}" for i in range(len(features))]
+    types = ", ".join(f"{name} tinyint" for name in names)
+    binned = numbers.mapInArrow(to_bins, f"{types}, label tinyint, draw long, fold int")
+    alike = binned.withColumn("alike", F.xxhash64(*names, "label")).hint("rebalance", "alike")
+    return stage(alike.sortWithinPartitions("alike").drop("alike"), "binned"), edges
 
 
 def grow(

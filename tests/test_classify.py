@@ -118,3 +118,11 @@ def test_codes_of_many_regions(spark):
     assert found.region_encoded.tolist() == list(range(100_000))
     assert found.region_label.tolist() == sorted(f"r{k}" for k in range(100_000))
     assert classify.region_codes(rows.limit(0)).count() == 0
+
+
+def test_rows_are_not_shuffled_to_their_places(spark):
+    df = spark.range(2_000_000).selectExpr("id", "int(id % 3 = 0) AS late_risk_flag")
+    placed = classify.label_place(df, ["id"], 42)
+    plan = placed._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    assert placed.count() == 2_000_000

@@ -1,4 +1,6 @@
 import numpy as np
+import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -145,3 +147,32 @@ def test_scores_of_values_on_cuts_and_of_no_number(spark):
     df = spark.createDataFrame(rows, "a double, b double, expected double")
     scored = classify.score_late_risk(model, df).collect()
     assert [r["late_probability"] for r in scored] == [r["expected"] for r in scored]
+
+
+@pytest.mark.parametrize("held", [[-1] * 6, [0, 0, 0, 1, 1, 1]])
+def test_runs_of_alike_rows_have_the_sum_of_their_draws(held):
+    """Also runs that are longer than what 16 bits hold, and trees of two folds in one word."""
+    rng = np.random.default_rng(3)
+    n, trees = 60_000, [0, 1, 3, 4, 5]
+    alike = np.sort(np.concatenate([np.zeros(40_000, int), rng.integers(1, 6, n - 40_000)]))
+    rows = pd.DataFrame({"b0": alike // 2, "label": alike % 2}).astype("int8")
+    rows["draw"], rows["fold"] = rng.integers(-(2**62), 2**62, n), rng.integers(0, 2, n).astype("int32")
+    state = {"columns": ["b0"], "seed": 9, "trees": trees, "held": np.array(held)}
+    batches = [pa.RecordBatch.from_pandas(rows[i : i + 7000], preserve_index=False) for i in range(0, n, 7000)]
+    found = list(forest.runs(iter(batches), state))
+    assert sum(len(label) for _, label, _ in found) < 60
+    for i, t in enumerate(trees):
+        key = forest.mixed_bits(np.full(1, (9 << 32) + t // 4 + 1, np.uint64))
+        bits = forest.mixed_bits(rows["draw"].to_numpy().view(np.uint64) ^ key) >> np.uint64(16 * (t % 4)) & np.uint64(0xFFFF)
+        weight = forest.draws_per_row()[bits] * (rows["fold"] != held[t])
+        sums = sum(np.bincount(bins[0] * 2 + label, draws[i].astype(float), minlength=6) for bins, label, draws in found)
+        assert sums.tolist() == np.bincount(alike, weight, minlength=6).tolist()
+
+
+def test_alike_rows_are_stored_next_to_each_other(spark):
+    df = spark.range(20_000).selectExpr("id", "id % 5 AS a", "id % 7 AS b", "int(id % 2) AS late_risk_flag")
+    binned, _ = forest.binned_rows(df.repartition(6), ["a", "b"], "late_risk_flag", ["id"], 5, None)
+    stored = binned.toPandas()
+    assert len(stored) == 20_000
+    starts = forest.run_starts([stored[c].to_numpy() for c in ("b0", "b1", "label")])
+    assert len(starts) <= 70 + binned.rdd.getNumPartitions() + 20_000 // forest.RUN + 1
