@@ -92,7 +92,8 @@ def label_place(df: DataFrame, key: list[str], seed: int, label: str = LABEL) ->
         )
     )
     same = F.col(label).eqNullSafe(F.col("_label")) & (F.col("_draw") == F.col("_at"))
-    return drawn.join(stage(places, "places"), same).drop("_draw", "_label", "_at")
+    # Every row has its place. An inner join would test the draw for null, and so take it twice.
+    return drawn.join(stage(places, "places"), same, "left").drop("_draw", "_label", "_at")
 
 
 def stratified_split(
