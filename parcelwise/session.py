@@ -75,8 +75,9 @@ def fit_partitions(df: DataFrame) -> None:
     if size < 200 * 8 * MB:
         return
     for key, value in sizing(size).items():
-        now = spark.conf.get(key, "0").rstrip("b")
-        if not now.isdigit() or int(now) < int(value):
+        # Without a default of ours, which Spark would check like a value that is set.
+        now = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(key))
+        if now < int(value):
             spark.conf.set(key, value)
 
 

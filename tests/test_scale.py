@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from parcelwise.operators import classify, feeds, kpi
+from parcelwise import session
 from parcelwise.session import apply_settings, sizing
 from parcelwise.sources import tables
 
@@ -83,6 +84,26 @@ def test_sizes_for_a_session_built_elsewhere(spark):
             spark.conf.set(key, value)
 
 
+@pytest.mark.parametrize("now, expected", [
+    # Nothing set, as in a plain session; less than the input needs, more, in other units.
+    ((None, None), ("596", "134217728")),
+    (("300", "16m"), ("596", "134217728")),
+    (("900", "1g"), ("900", "1g")),
+])
+def test_large_inputs_raise_partitions_whatever_is_set(spark, monkeypatch, now, expected):
+    monkeypatch.setattr(session, "input_size", lambda df: 5_000_000_000)
+    keys = ("spark.sql.shuffle.partitions", "spark.sql.files.maxPartitionBytes")
+    before = {k: spark.conf.get(k) for k in keys}
+    try:
+        for key, value in zip(keys, now):
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+        session.fit_partitions(spark.range(1))
+        assert tuple(spark.conf.get(k).removesuffix("b") for k in keys) == expected
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
 def test_month_filters_prune_partitions(fact):
     text = plan(kpi.monthly_risk_by_region(fact).filter(F.col("year_month") == "2022-05"))
     assert "PartitionFilters: [isnotnull(year_month" in text
