@@ -23,6 +23,9 @@ SETTINGS = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.execution.arrow.maxRecordsPerBatch": "10000",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # The JVM never compiles a method above 8000 bytes of code, and wide rows make such methods
+    # of a whole stage; Spark then generates each operator's code by itself.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from parcelwise.operators import classify, feeds, kpi
 from parcelwise import session
 from parcelwise.session import apply_settings, sizing
-from parcelwise.sources import tables
+from parcelwise.sources import benchmark_tables, tables
 
 FACT = (
     "order_id bigint, customer_id bigint, product_id bigint, region_name string, year_month string, "
@@ -104,6 +104,11 @@ def test_large_inputs_raise_partitions_whatever_is_set(spark, monkeypatch, now,
             spark.conf.set(key, value)
 
 
+def test_generated_methods_are_small_enough_to_be_compiled(spark):
+    spark.conf.unset("spark.sql.codegen.hugeMethodLimit")
+    assert apply_settings(spark).conf.get("spark.sql.codegen.hugeMethodLimit") == "8000"
+
+
 def test_month_filters_prune_partitions(fact):
     text = plan(kpi.monthly_risk_by_region(fact).filter(F.col("year_month") == "2022-05"))
     assert "PartitionFilters: [isnotnull(year_month" in text
