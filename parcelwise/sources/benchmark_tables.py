@@ -45,25 +45,36 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def joined_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items with everything known about them.
 
-    No broadcast hints: Spark broadcasts a side only when its measured size is
-    below the threshold, and sort-merge joins otherwise. Names come last, so that the
-    lines are shuffled as keys and numbers.
+    Lines are shuffled twice, to their orders and then to their parts, as keys and numbers.
+    In between they lose what only the lead and the priority's digit are taken from, and names
+    come last. Orders, customers and parts are broadcast only where Spark's measured size is
+    below the threshold. Nations and their regions, a few dozen whatever the size of the other
+    tables, always are: Spark takes the product of their sizes for that of their join, and with
+    a low threshold would shuffle all lines to the few keys of the nations.
     """
-    nation = table(spark, sf_dir, "nation").join(
-        table(spark, sf_dir, "region"), F.expr("n_regionkey = r_regionkey")
+    nation = F.broadcast(
+        table(spark, sf_dir, "nation").join(
+            F.broadcast(table(spark, sf_dir, "region")), F.expr("n_regionkey = r_regionkey")
+        )
     )
     customer = table(spark, sf_dir, "customer")
     orders = table(spark, sf_dir, "orders").join(customer, F.expr("o_custkey = c_custkey"))
     allowed = ", ".join(str(days) for days in SCHEDULED_DAYS)
-    return (
+    dated = (
         table(spark, sf_dir, "lineitem")
         .join(orders, F.expr("l_orderkey = o_orderkey"))
-        .join(table(spark, sf_dir, "part"), F.expr("l_partkey = p_partkey"))
+        .selectExpr(
+            "* EXCEPT (l_shipdate, o_orderpriority)",
+            "pmod(datediff(l_shipdate, o_orderdate), 7) AS lead",
+            "substring(o_orderpriority, 1, 1) AS priority",
+        )
+    )
+    return (
+        dated.join(table(spark, sf_dir, "part"), F.expr("l_partkey = p_partkey"))
         .join(nation, F.expr("c_nationkey = n_nationkey"))
         .selectExpr(
             "*",
-            "pmod(datediff(l_shipdate, o_orderdate), 7) AS lead",
-            f"element_at(array({allowed}), int(substring(o_orderpriority, 1, 1))) AS scheduled",
+            f"element_at(array({allowed}), int(priority)) AS scheduled",
             "bigint(round(l_extendedprice * 100)) AS price_cents",
             "l_extendedprice * (1 - l_discount) - l_quantity * p_retailprice AS line_profit",
         )

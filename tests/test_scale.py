@@ -104,6 +104,22 @@ def test_large_inputs_raise_partitions_whatever_is_set(spark, monkeypatch, now,
             spark.conf.set(key, value)
 
 
+def test_lines_are_not_shuffled_to_nations_and_carry_what_is_needed(spark, tiny):
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    try:
+        tree = plan(benchmark_tables.raw_orders(spark, tiny).dropDuplicates())
+    finally:
+        spark.conf.set(key, before)
+    dealt = [line for line in tree.split("\n") if "hashpartitioning" in line]
+    assert not any("nationkey" in line for line in dealt)
+    # Lines to orders and to parts, and the three tables they meet; copies go where they are.
+    assert len(dealt) == 6, dealt
+    to_parts = tree[: tree.index("hashpartitioning(l_partkey")].rsplit("Input [", 1)[1]
+    assert "lead" in to_parts and "shipdate" not in to_parts and "orderpriority" not in to_parts
+
+
 def test_generated_methods_are_small_enough_to_be_compiled(spark):
     spark.conf.unset("spark.sql.codegen.hugeMethodLimit")
     assert apply_settings(spark).conf.get("spark.sql.codegen.hugeMethodLimit") == "8000"
